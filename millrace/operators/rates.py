@@ -67,10 +67,5 @@ def rows_of_new_days(rates: DataFrame, daily: DataFrame) -> DataFrame:
     return rates.join(F.broadcast(days), "date", "left_anti").select(*rates.columns)
 
 
-def refreshed_days(raw: DataFrame, daily: DataFrame) -> DataFrame:
-    """Daily rows a refresh has to store: the newest stored day again, and all days not stored."""
-    return daily_rates(rows_of_new_days(parse_rates(raw), drop_last_day(daily)))
-
-
 def row_count(rates: DataFrame) -> DataFrame:
     return rates.agg(F.count("*").alias("cnt"))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.operators.rates import refreshed_days
+from millrace.operators.rates import daily_rates, drop_last_day, parse_rates, rows_of_new_days
 from millrace.operators.warehouse import TableSpec, new_rows
 
 
@@ -93,29 +93,51 @@ def table_sizes(spark: SparkSession, database: str, names: Sequence[str]) -> Dat
     return total
 
 
+# The daily table has one folder per month: few enough to list quickly after decades, and the
+# newest one is small enough to write anew at every refresh.
+def _month() -> Column:
+    return F.date_format("date", "yyyyMM").cast("int").alias("month")
+
+
 def create_daily_rates(spark: SparkSession, path: str) -> None:
-    """An empty daily rate table, one folder per date, unless something is stored there."""
-    empty = spark.createDataFrame([], schemas.DAILY_RATE)
-    empty.write.mode("ignore").partitionBy("date").parquet(path)
+    """An empty daily rate table, unless something is stored there."""
+    empty = spark.createDataFrame([], schemas.DAILY_RATE).withColumn("month", _month())
+    empty.write.mode("ignore").partitionBy("month").parquet(path)
+
+
+def _stored_rates(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{schemas.DAILY_RATE}, month int").parquet(path)
 
 
 def read_daily_rates(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.DAILY_RATE).parquet(path)
+    return _stored_rates(spark, path).drop("month")
 
 
 def refresh_daily(raw: DataFrame, path: str) -> None:
     """Compute the newest stored day again, add missing days, leave all other days untouched.
 
-    The result is staged beside the table and moved into place when the job commits, replacing
-    only the folders of the days it holds. Each day is written by one task, as a day holds one
-    row per base and symbol.
+    Only months that receive a day are written: their other days are carried over as stored. The
+    result is staged beside the table and moved into place when the job commits. A newest day
+    for which no raw rates remain stays as it is. Undated rates are aggregated anew each time.
+
+    The lists of days and months are broadcast; the date type bounds them, whatever is stored.
+    Rebalancing by month gives few files per month, while AQE splits a month that is much larger
+    than the others.
     """
-    stored = read_daily_rates(raw.sparkSession, path)
+    stored = _stored_rates(raw.sparkSession, path)
+    arriving = rows_of_new_days(parse_rates(raw), drop_last_day(stored))
+    days = arriving.select("date").distinct()
+    months = days.select(_month()).distinct()
+    carried = (
+        stored.where(F.col("date").isNotNull())
+        .join(F.broadcast(months), "month", "left_semi")
+        .join(F.broadcast(days), "date", "left_anti")
+    )
     (
-        refreshed_days(raw, stored)
-        .repartition("date")
+        carried.unionByName(daily_rates(arriving).withColumn("month", _month()))
+        .hint("rebalance", "month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("date")
+        .partitionBy("month")
         .parquet(path)
     )
