@@ -22,7 +22,8 @@ def line_counts(lines: DataFrame, *parts: str, column: str = "value") -> DataFra
 
 def sample_rows(rows: DataFrame, fraction: float, seed: int = SAMPLE_SEED) -> DataFrame:
     """Each row kept with the given probability."""
-    return rows.sample(fraction, seed=seed)
+    # By name: with a positional fraction, Spark 4.1 ignores a seed given by name.
+    return rows.sample(fraction=fraction, seed=seed)
 
 
 def with_uuid(rows: DataFrame, column: str = "uuid") -> DataFrame:

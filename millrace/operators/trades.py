@@ -132,10 +132,12 @@ def windowed(trades: DataFrame, id: str, s: int = 30) -> DataFrame:
 
 
 def _window_users(rows: DataFrame, id: str) -> DataFrame:
-    """One row per window and login: trades counted, and the range of their cmd codes."""
+    """One row per window and login: trades counted, and the range of their cmd codes.
+
+    The id is the key of a trade and never null, so counting it also counts the rows.
+    """
     return rows.groupBy("time_window", "login").agg(
         F.count(id).alias("same_window_count"),
-        F.count("*").alias("_rows"),
         F.min("cmd").alias("low_cmd"),
         F.max("cmd").alias("high_cmd"),
     )
@@ -143,19 +145,19 @@ def _window_users(rows: DataFrame, id: str) -> DataFrame:
 
 def same_window_counts(rows: DataFrame, id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Windowed rows with the number of trades their login has in the window."""
-    stats = _window_users(rows, id).select("time_window", "login", "same_window_count", "_rows")
-    counted = join_group_stats(rows, stats, ["time_window", "login"], "_rows", hot_rows=hot_rows)
-    return counted.select(*rows.columns, "same_window_count")
+    keys = ["time_window", "login"]
+    stats = _window_users(rows, id).select(*keys, "same_window_count")
+    return join_group_stats(rows, stats, keys, "same_window_count", hot_rows=hot_rows)
 
 
 def busy_users(rows: DataFrame, id: str, n: int = 10, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Windowed rows of logins with more than n trades in the window, and how many such logins it has."""
-    users = _window_users(rows, id).where(F.col("same_window_count") > n)
-    users = users.select("time_window", "login", "same_window_count", "_rows")
+    keys = ["time_window", "login"]
+    users = _window_users(rows, id).select(*keys, "same_window_count")
+    users = users.where(F.col("same_window_count") > n)
     sizes = users.groupBy("time_window").agg(F.count("*").alias("users_count"))
     sized = join_group_stats(users, sizes, ["time_window"], "users_count", hot_rows=hot_rows)
-    counted = join_group_stats(rows, sized, ["time_window", "login"], "_rows", hot_rows=hot_rows)
-    return counted.select(*rows.columns, "same_window_count", "users_count")
+    return join_group_stats(rows, sized, keys, "same_window_count", hot_rows=hot_rows)
 
 
 def crowded_windows(busy: DataFrame) -> DataFrame:

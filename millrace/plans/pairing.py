@@ -20,8 +20,12 @@ def _split_groups(members: DataFrame, group: str, low: str, high: str, block: in
     sizes = members.groupBy(group).agg(
         F.count("*").alias("_size"), F.min(low).alias("_low"), F.max(high).alias("_high")
     )
-    limit = sizes.agg(F.coalesce(F.sum("_size"), F.lit(0)) * F.lit(SPLIT_SHARE)).scalar()
-    blocks = F.when(F.col("_low") < F.col("_high"), F.ceil(F.col("_size") / F.lit(block)))
+    pairing = F.col("_low") < F.col("_high")
+    # Counting only groups that can yield pairs is what a share should refer to. It also uses every
+    # column of ``sizes``, so this subquery reads the same exchange as the other uses of members.
+    able = F.coalesce(F.sum(F.when(pairing, F.col("_size"))), F.lit(0))
+    limit = sizes.agg(able * F.lit(SPLIT_SHARE)).scalar()
+    blocks = F.when(pairing, F.ceil(F.col("_size") / F.lit(block)))
     return sizes.where((F.col("_size") > F.lit(block)) & (F.col("_size") > limit)).select(
         F.col(group).alias("_group"), F.coalesce(blocks, F.lit(0)).alias("_blocks")
     )
@@ -41,10 +45,11 @@ def differing_pairs(
     block as row, the right one brings its block as column of the grid. Small groups are a
     grid of one cell. No pair is left out and no task compares more than a block with a block.
     """
+    # Filtered before the sizes are taken, so that all three uses share one exchange.
+    members = members.where(F.col(group).isNotNull() & F.col(member).isNotNull())
     split = F.broadcast(_split_groups(members, group, low, high, block))
     placed = (
-        members.where(F.col(group).isNotNull() & F.col(member).isNotNull())
-        .join(split, F.col(group) == F.col("_group"), "left")
+        members.join(split, F.col(group) == F.col("_group"), "left")
         .withColumn("_blocks", F.coalesce(F.col("_blocks"), F.lit(1)))
         .where(F.col("_blocks") > 0)
         .withColumn("_block", F.pmod(F.xxhash64(member), F.col("_blocks")))

@@ -53,7 +53,8 @@ def join_group_stats(
     Rows of hot groups join a broadcast of the few hot stats and are never shuffled. The
     others are shuffled by key, where no group can exceed ``hot_rows`` or 0.1 % of the rows.
     ``weight`` is the stats column counting the group's rows. Sizes are exact counts, so both
-    branches always agree on which groups are hot.
+    branches always agree on which groups are hot. Stats with no columns beyond keys and weight
+    are computed once: every use then needs the same columns and shares one exchange.
     """
     stats, inner, condition = _renamed(stats, keys)
     hot = hot_groups(stats, weight, rows=hot_rows)

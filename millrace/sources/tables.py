@@ -36,13 +36,15 @@ def truncate_table(spark: SparkSession, name: str) -> None:
 
 
 def create_warehouse(
-    spark: SparkSession, database: str, specs: Sequence[TableSpec], buckets: int
+    spark: SparkSession, database: str, specs: Sequence[TableSpec], buckets: int | None = None
 ) -> None:
     """Tables of a model, bucketed by the keys their loads join on.
 
-    The join with new rows then reads the stored side, which grows without end, in place:
-    only the new rows are shuffled.
+    The join with new rows then reads the stored side, which grows without end, in place: only
+    the new rows are shuffled. Spark does so when there are at least as many buckets as shuffle
+    partitions, hence the default.
     """
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     for spec in specs:
         create_table(spark, f"{database}.{spec.name}", spec.ddl, buckets=(buckets, spec.keys))
 
