@@ -20,9 +20,12 @@ LATER = "2024-01-02 00:00:00"  # events before it count as stored, the others as
 class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._read[name]
 
     def _events(self) -> DataFrame:
         return self.table("events").withColumns(
@@ -68,7 +71,7 @@ class Tables:
         """Neighbouring events as the open and the close of a position."""
         return self._events().select(
             F.col("user_id").alias("login"),
-            F.floor(F.col("event_id") / 2).alias("positionid"),
+            F.call_function("div", F.col("event_id"), F.lit(2)).alias("positionid"),
             (F.col("event_type") == "click").cast("int").alias("action"),
             (F.col("event_id") % 2).cast("int").alias("entry"),
             F.col("ts").alias("time"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Members of one group that a single task compares with each other at most (on each side).
@@ -48,32 +48,33 @@ def differing_pairs(
     # Filtered before the sizes are taken, so that all three uses share one exchange.
     members = members.where(F.col(group).isNotNull() & F.col(member).isNotNull())
     split = F.broadcast(_split_groups(members, group, low, high, block))
-    placed = (
+    sized = (
         members.join(split, F.col(group) == F.col("_group"), "left")
-        .withColumn("_blocks", F.coalesce(F.col("_blocks"), F.lit(1)))
+        .select(group, member, low, high, F.coalesce("_blocks", F.lit(1)).alias("_blocks"))
         .where(F.col("_blocks") > 0)
-        .withColumn("_block", F.pmod(F.xxhash64(member), F.col("_blocks")))
-        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1)))
-    )
-    left = placed.select(
-        F.col(group).alias("_group"),
-        F.col("_block").alias("_row"),
-        F.col("_other").alias("_column"),
-        F.col(member).alias("left"),
-        F.col(low).alias("_left_low"),
-        F.col(high).alias("_left_high"),
-    )
-    right = placed.select(
-        F.col(group).alias("_group"),
-        F.col("_other").alias("_row"),
-        F.col("_block").alias("_column"),
-        F.col(member).alias("right"),
-        F.col(low).alias("_right_low"),
-        F.col(high).alias("_right_high"),
     )
+    own = F.pmod(F.xxhash64(member), F.col("_blocks"))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
+
+    def side(row: Column, column: Column, name: str) -> DataFrame:
+        return sized.select(
+            F.col(group).alias("_group"),
+            row.alias("_row"),
+            column.alias("_column"),
+            F.col(member).alias(name),
+            F.col(low).alias(f"_{name}_low"),
+            F.col(high).alias(f"_{name}_high"),
+        )
+
+    left, right = side(own, every, "left"), side(every, own, "right")
+    # The number of partitions is given because AQE would merge them by size, while the work of this
+    # join grows with the square of a group. Cells are balanced, so none needs splitting at run time.
+    cell = ["_group", "_row", "_column"]
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     differ = F.least("_left_low", "_right_low") < F.greatest("_left_high", "_right_high")
     return (
-        left.join(right, ["_group", "_row", "_column"])
+        left.repartition(parts, *cell)
+        .join(right, cell)
         .where((F.col("left") > F.col("right")) & differ)
         .select("left", "right")
     )

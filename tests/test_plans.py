@@ -97,7 +97,7 @@ def test_ratings_are_aggregated_before_the_join(spark):
     movies = spark.range(10).selectExpr("cast(id AS string) AS movieId", "concat('t', id) AS title")
     plan = planned(ratings.top_titles(rated, movies))
     assert "TakeOrderedAndProject" in plan
-    assert "partial_count(timestamp" in plan[plan.index("Join") :]
+    assert "partial_count(" in plan[plan.index("Join") :]
 
 
 def test_no_python_runs_in_a_query_plan(spark, frame):
