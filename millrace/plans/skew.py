@@ -19,9 +19,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A hot group holds more than this share of all rows, so at most 1 / HOT_SHARE groups
-# are hot. That bound is what makes broadcasting the hot groups safe at any scale.
-HOT_SHARE = 0.001
+# A hot group holds more than this share of all rows, so at most 100,000 groups are hot. That
+# bound, a few megabytes, is what makes broadcasting the hot groups safe at any scale.
+HOT_SHARE = 0.00001
 # Groups up to this many rows are cheap for one task whatever their share.
 HOT_ROWS = 100_000
 
@@ -51,7 +51,8 @@ def join_group_stats(
     """Inner join of rows with one-row-per-group stats; null keys match, as in a window partition.
 
     Rows of hot groups join a broadcast of the few hot stats and are never shuffled. The
-    others are shuffled by key, where no group can exceed ``hot_rows`` or 0.1 % of the rows.
+    others are shuffled by key, where no group exceeds the larger of ``hot_rows`` and 0.001 % of
+    the rows.
     ``weight`` is the stats column counting the group's rows. Sizes are exact counts, so both
     branches always agree on which groups are hot. Stats with no columns beyond keys and weight
     are computed once: every use then needs the same columns and shares one exchange.

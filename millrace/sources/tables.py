@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,13 +74,18 @@ def load_warehouse(
 ) -> None:
     """Append what each table lacks. Safe to repeat after any failure: stored rows are not added again.
 
-    Each table reads only its columns of the source, so the source should be a columnar table.
+    Each table reads only its columns of the source, so the source should be a columnar table. The
+    loads are independent and submitted together, so that small ones do not leave the cluster idle.
     """
     spark = source.sparkSession
-    for spec in specs:
+
+    def load(spec: TableSpec) -> None:
         table = f"{database}.{spec.name}"
         append_to_table(new_rows(source, spark.table(table), spec, time), table, spec)
 
+    with ThreadPoolExecutor(max_workers=8) as pool:
+        list(pool.map(load, specs))
+
 
 def table_sizes(spark: SparkSession, database: str, names: Sequence[str]) -> DataFrame:
     """(table_name, row_count) of stored tables."""

@@ -44,5 +44,8 @@ def land_events(spark: SparkSession, folder: str, table: str, checkpoint: str, *
     def load(archive: DataFrame, batch: int) -> None:
         typed_events(archive).write.mode("overwrite").parquet(f"{table}/batch={batch}")
 
+    # An empty first folder, so that the table can be read before anything has landed.
+    empty = spark.createDataFrame([], schemas.TYPED_EVENT)
+    empty.write.mode("ignore").parquet(f"{table}/batch=-1")
     land_files(spark, folder, load, checkpoint, **options)
     return spark.read.schema(schemas.TYPED_EVENT).parquet(table).drop("batch")

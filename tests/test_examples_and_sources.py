@@ -118,6 +118,7 @@ def test_landing_takes_every_file_once(spark, tmp_path):
     landing = tmp_path / "landing"
     landing.mkdir()
     table, progress = str(tmp_path / "table"), str(tmp_path / "progress")
+    assert land_events(spark, str(landing), table, progress).count() == 0
     for hour in range(4):
         (landing / f"{hour}.json").write_text(ARRIVAL % hour)
         if hour % 2:
