@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.plans.scratch import checkpointed
@@ -70,6 +71,11 @@ def model_tables(spark: SparkSession, model: Mapping) -> DataFrame:
     return spark.createDataFrame(rows, "kind string, name string, ddl string")
 
 
+def _present(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows in which no given column is null; written as a filter that reaches the file scan."""
+    return rows.where(reduce(Column.__and__, [F.col(name).isNotNull() for name in columns]))
+
+
 def _not_stored(found: DataFrame, stored: DataFrame, keys: list[str]) -> DataFrame:
     """Found rows (already one per key, so no key can be hot) missing from the stored table."""
     return found.join(stored.select(*keys), keys, "left_anti")
@@ -77,12 +83,12 @@ def _not_stored(found: DataFrame, stored: DataFrame, keys: list[str]) -> DataFra
 
 def hub_new_keys(source: DataFrame, stored: DataFrame, key: str) -> DataFrame:
     """Keys of the source not in the hub; a null key identifies nothing and is left out."""
-    return _not_stored(source.select(key).dropna().distinct(), stored, [key])
+    return _not_stored(_present(source, key).select(key).distinct(), stored, [key])
 
 
 def link_new_pairs(source: DataFrame, stored: DataFrame, left: str, right: str) -> DataFrame:
     """Source pairs not in the link, each once; pairs need both keys."""
-    return _not_stored(source.select(left, right).dropna().distinct(), stored, [left, right])
+    return _not_stored(_present(source, left, right).select(left, right).distinct(), stored, [left, right])
 
 
 def sat_new_values(
@@ -90,7 +96,7 @@ def sat_new_values(
 ) -> DataFrame:
     """(key, value) pairs not in the satellite, with the latest time the source shows them."""
     latest = (
-        source.dropna(subset=[key, value])
+        _present(source, key, value)
         .groupBy(key, value)
         .agg(F.max(time).alias("from_time"))
     )
@@ -105,7 +111,7 @@ def sat_new_versions(
     The stored side is joined as it is, so both sides are exchanged directly and AQE may
     split a pair that most sightings share.
     """
-    sightings = source.select(key, value, F.col(time).alias("from_time")).dropna(subset=[key, value])
+    sightings = _present(source, key, value).select(key, value, F.col(time).alias("from_time"))
     old = stored.select(
         F.col(key).alias("_key"), F.col(value).alias("_value"), F.col("from_time").alias("_since")
     )
@@ -133,7 +139,7 @@ def dim_new_values(source: DataFrame, dim: DataFrame, value: str, id: str) -> Da
     row's number is its place in the partition plus the rows of all earlier partitions. Places
     depend on where the sort cuts its partitions, so the sorted values are checkpointed first.
     """
-    fresh = _not_stored(source.select(value).dropna().distinct(), dim, [value])
+    fresh = _not_stored(_present(source, value).select(value).distinct(), dim, [value])
     placed = checkpointed(
         fresh.orderBy(value).withColumn("_place", F.monotonically_increasing_id())
     ).select(
@@ -161,5 +167,5 @@ def dim_new_rows(source: DataFrame, dim: DataFrame, value: str, id: str) -> Data
     Pairs are de-duplicated with the id, so a value with very many ids keeps its rows
     apart, and the join by value exchanges both sides directly for AQE to split.
     """
-    pairs = source.select(id, value).dropna().distinct()
+    pairs = _present(source, id, value).select(id, value).distinct()
     return pairs.join(dim.select(value), value, "left_anti").select(id, value)

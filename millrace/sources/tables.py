@@ -128,6 +128,9 @@ def refresh_daily(raw: DataFrame, path: str) -> None:
     result is staged beside the table and moved into place when the job commits. A newest day
     for which no raw rates remain stays as it is. Undated rates are aggregated anew each time.
 
+    The commit replaces month after month, so it is not one transaction. Repeating a failed refresh
+    completes it as long as the raw rates still hold the affected month.
+
     The lists of days and months are broadcast; the date type bounds them, whatever is stored.
     Rebalancing by month gives few files per month, while AQE splits a month that is much larger
     than the others.

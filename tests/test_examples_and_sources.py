@@ -35,6 +35,7 @@ def test_top_titles_equal_the_plain_join(spark, frame, rows):
         "timestamp_seconds(id) AS timestamp",
     )
     movies = spark.range(40).selectExpr("cast(id AS string) AS movieId", "concat('t', id % 15) AS title")
+    movies = movies.union(movies.where("movieId IN ('3', '7')"))
     joined = rated.join(movies, "movieId").createOrReplaceTempView("joined_ratings")
     plain = spark.sql(
         "SELECT title, count(timestamp) AS qty_ratings, avg(rating) AS avg_rating FROM joined_ratings "
@@ -134,7 +135,7 @@ def test_activity_report_writes_every_result(spark, tmp_path):
     archive = readers.read_archive(spark, str(tmp_path / "e.json"))
     reports.activity_report(archive, str(tmp_path / "out"), files=1)
     assert {p.name for p in (tmp_path / "out").iterdir()} == {
-        "owners_with_many_repos", "active_submitters", "inactive_submitters", "names", "repos_with_many_members",
+        "events", "owners_with_many_repos", "active_submitters", "inactive_submitters", "names", "repos_with_many_members",
     }
     pushes = readers.read_csv(spark, str(tmp_path / "out" / "active_submitters"))
     assert [tuple(r) for r in pushes.collect()] == [("u", "3")]
