@@ -1,23 +1,24 @@
-"""Shared storage for intermediate results, found through ``spark.checkpoint.dir``."""
+"""Shared storage for intermediate results, in the folder that the session names for checkpoints."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder of the session; a temporary one only for local masters."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="millrace-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    """The checkpoint folder of the context, else the one in ``spark.checkpoint.dir``.
+
+    There is no fallback to a local temporary folder: executors on other machines could not read it.
+    """
+    folder = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        raise RuntimeError(
+            "no checkpoint folder: set spark.checkpoint.dir (or call sparkContext.setCheckpointDir) "
+            "to a folder that the driver and every executor can reach"
+        )
+    return folder
 
 
 def new_dir(spark: SparkSession, label: str) -> str:
@@ -25,6 +26,23 @@ def new_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that no later read needs, on whatever file system it is."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+def stored(rows: DataFrame, label: str) -> DataFrame:
+    """Rows written once as a table below the shared folder and read back: lineage ends here.
+
+    Unlike a cache the copy survives lost executors. The schema is given to the reader, so reading
+    back infers nothing and works for an empty result as well.
+    """
+    path = new_dir(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def checkpointed(rows: DataFrame) -> DataFrame:
     """Rows written once to the checkpoint folder, with their lineage cut.
 
