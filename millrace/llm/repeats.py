@@ -29,6 +29,7 @@ from millrace.llm.blocks import read_block, with_replies
 from millrace.llm.columns import mix, pack, partitions, unpack
 
 SLICE = 1 << 20  # units worked on at once; a longer document is a slice of its own
+JUDGED = 500_000  # windows sorted at once
 _SENT = "block bigint, bucket int, blob binary"
 
 
@@ -250,12 +251,30 @@ def _judged(units: Units, group: pa.Table) -> list[tuple[int, int, bytes]]:
         source.append(np.full(key.size, i))
     if not parts:
         return settled
-    key, start, count, doc, content = (np.concatenate(x) for x in zip(*parts))
+    arrays = [np.concatenate(x) for x in zip(*parts)]
+    del parts
     src = np.concatenate(source)
+    # Equal windows have equal anchors, so a bucket can be judged in shares of its anchors.
+    shares = -(-int(arrays[2].sum()) // JUDGED)
+    share = ((arrays[0] >> np.uint64(17)) % np.uint64(max(shares, 1))).astype(np.int64)
+    found = [_judged_share(units, np.array(blocks), src, *arrays, np.flatnonzero(share == i)) for i in range(shares)]
+    owner, starts, ends = (np.concatenate(x) for x in zip(*found))
+    by_owner = np.argsort(owner, kind="stable")
+    cuts = np.searchsorted(owner[by_owner], np.arange(len(blocks) + 1))
+    for i in np.flatnonzero(np.diff(cuts)):
+        own = by_owner[cuts[i] : cuts[i + 1]]
+        settled.append((blocks[i], 0, pack(starts[own], ends[own])))
+    return settled
+
+
+def _judged_share(units: Units, blocks: np.ndarray, src: np.ndarray, key: np.ndarray, start: np.ndarray, count: np.ndarray, doc: np.ndarray, content: np.ndarray, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sender, first, end) of stretches of repeated windows among the runs ``own``."""
     size = count + (units.width - 1 if units.content else 0)
+    begin = (np.cumsum(size) - size)[own]
+    size, key, start, count, doc, src = (x[own] for x in (size, key, start, count, doc, src))
+    content = content[np.arange(int(size.sum())) + np.repeat(begin - (np.cumsum(size) - size), size)]
     begin = np.cumsum(size) - size
-    block = np.array(blocks)[src]
-    order = np.lexsort((start, block, doc))
+    order = np.lexsort((start, blocks[src], doc))
     repeated = count[order]
     at = np.arange(int(count.sum())) + np.repeat(begin[order] - (np.cumsum(repeated) - repeated), repeated)
     if units.content:
@@ -266,7 +285,7 @@ def _judged(units: Units, group: pa.Table) -> list[tuple[int, int, bytes]]:
     names = mix(names ^ np.repeat(key[order], repeated))
     sort = np.argsort(names, kind="stable")
     sorted_names = names[sort]
-    new = np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]])
+    new = np.concatenate([[True], sorted_names[1:] != sorted_names[:-1]])[: sort.size]
     lead = sort[new][np.cumsum(new) - 1]
     run = np.repeat(np.arange(order.size), repeated)
     again = np.empty(sort.size, bool)
@@ -275,16 +294,9 @@ def _judged(units: Units, group: pa.Table) -> list[tuple[int, int, bytes]]:
     place = start[order][run] + (np.arange(run.size) - np.repeat(np.cumsum(repeated) - repeated, repeated))
     edge = np.diff(np.concatenate([[0], again.view(np.int8), [0]]))
     cut = np.concatenate([[True], run[1:] != run[:-1], [True]])
-    starts = np.flatnonzero(again & ((edge[:-1] == 1) | cut[:-1]))
-    ends = np.flatnonzero(again & ((edge[1:] == -1) | cut[1:]))
-    owner = src[order][run[starts]]
-    out = settled
-    by_owner = np.argsort(owner, kind="stable")
-    cuts = np.searchsorted(owner[by_owner], np.arange(len(blocks) + 1))
-    for i in np.flatnonzero(np.diff(cuts)):
-        own = by_owner[cuts[i] : cuts[i + 1]]
-        out.append((blocks[i], 0, pack(place[starts[own]], place[ends[own]] + 1)))
-    return out
+    starts = np.flatnonzero(again & ((edge[:-1] == 1) | cut[: run.size]))
+    ends = np.flatnonzero(again & ((edge[1:] == -1) | cut[cut.size - run.size :]))
+    return src[order][run[starts]], place[starts], place[ends] + 1
 
 
 def covered(size: int, width: int, replies: list[dict] | None) -> np.ndarray:
