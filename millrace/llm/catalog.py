@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import op1_bitplanes, op3_packing, op5_suffix_dedup, op6_seed_extend
+from millrace.llm import op10_jaccard_groups, op1_bitplanes, op3_packing, op5_suffix_dedup, op6_seed_extend
 from millrace.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,7 @@ def _ready(query: Query) -> Query:
 QUERIES: dict[str, Query] = {
     name: _ready(query)
     for name, query in {
+        "op10_jaccard_groups": op10_jaccard_groups.query,
         "op1_bitplanes": op1_bitplanes.query,
         "op3_packing": op3_packing.query,
         "op5_suffix_dedup": op5_suffix_dedup.query,
