@@ -37,6 +37,7 @@ PERCENT = 85
 # counters shared by several shingles cost speed and never a result.
 COUNTERS = 1 << 20
 _PARTS = 16
+_SHARES = 128
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -191,39 +192,55 @@ def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) ->
     return packed.groupBy("bucket").applyInArrow(lists, ", ".join(f"{name} bigint" for name in names))
 
 
-def _sets(blocks: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(sig, items) of the documents that ``wanted`` (block, doc, sig) names."""
+def _sets(blocks: DataFrame, wanted: DataFrame, n: int, counted: bool) -> DataFrame:
+    """(sig, items) of the sets in ``wanted`` (sig, block, doc).
+
+    Items are the shingle hashes; if ``counted``, their numbers in each of ``_SHARES`` ranges of hashes.
+    """
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.list_(pa.int32() if counted else pa.int64())
         for batch in batches:
             for blob, replies in zip(batch.column("texts").to_pylist(), batch.column("replies").to_pylist()):
-                asked = {r["bucket"] for r in replies or ()}
                 ids, bounds, data = read_block(blob)
-                index = sorted(asked)
-                texts = [data[bounds[i] : bounds[i + 1]] for i in index]
+                texts = [data[bounds[i] : bounds[i + 1]] for i in sorted({r["bucket"] for r in replies})]
                 cuts = np.concatenate([[0], np.cumsum([t.size for t in texts])]).astype(np.int64)
-                if not texts:
-                    continue
                 sigs, sets, held = [], [], 0
                 for _, items in shingle_sets(np.concatenate(texts), cuts, n):
                     sigs.append(signature(items))
-                    sets.append(items.view(np.int64))
+                    if counted:
+                        items = np.bincount((items >> np.uint64(57)).astype(np.int64), minlength=_SHARES)
+                    sets.append(items.astype(np.int32) if counted else items.view(np.int64))
                     held += items.size
                     if held > 1 << 19:
-                        yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["sig", "items"])
+                        yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sets, kind)], ["sig", "items"])
                         sigs, sets, held = [], [], 0
-                yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["sig", "items"])
+                yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sets, kind)], ["sig", "items"])
 
     asked = wanted.select("block", F.col("doc").alias("bucket"), F.lit(None).cast("binary").alias("blob"))
-    return with_replies(blocks.select("block", "texts"), asked).where("replies IS NOT NULL").mapInArrow(pick, "sig bigint, items array<bigint>")
+    found = with_replies(blocks.select("block", "texts"), asked).where("replies IS NOT NULL")
+    return found.mapInArrow(pick, f"sig bigint, items array<{'int' if counted else 'bigint'}>")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough, by exact intersection."""
-    left = sets.select(F.col("sig").alias("u"), F.col("items").alias("a"))
-    right = sets.select(F.col("sig").alias("v"), F.col("items").alias("b"))
-    both = F.size(F.array_intersect("a", "b"))
-    return pairs.join(left, "u").join(right, "v").where(both * (100 + percent) >= percent * (F.size("a") + F.size("b"))).select("u", "v")
+def _verified(pairs: DataFrame, blocks: DataFrame, where: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (u, v) whose sets are similar enough, by exact intersection.
+
+    First with the sets' counts in hash ranges: the intersection is at most the sum of the lesser
+    counts. Whole sets are fetched only for pairs that this bound admits, and only those sets.
+    """
+    for counted in (True, False):
+        pairs = stored(pairs, "pairs")
+        asked = pairs.select(F.explode(F.array("u", "v")).alias("sig")).distinct().join(where, "sig").select("sig", "at.block", "at.doc")
+        sets = stored(_sets(blocks, asked, n, counted), "sets")
+        left = sets.select(F.col("sig").alias("u"), F.col("items").alias("a"))
+        right = sets.select(F.col("sig").alias("v"), F.col("items").alias("b"))
+        if counted:
+            both = F.aggregate(F.zip_with("a", "b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
+            total = F.aggregate("a", F.lit(0), lambda x, y: x + y) + F.aggregate("b", F.lit(0), lambda x, y: x + y)
+        else:
+            both, total = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
+        pairs = pairs.join(left, "u").join(right, "v").where(both.cast("bigint") * (100 + percent) >= total.cast("bigint") * percent).select("u", "v")
+    return pairs
 
 
 def _possible(n: str, place: str, other_n: str, other_place: str, percent: int) -> str:
@@ -254,9 +271,7 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     inside = members.groupBy("grp").agg(F.count("*").alias("c")).where("c > 1").select("grp")
     listed = lists.select("grp").distinct()
     involved = stored(members.join(listed.unionByName(inside).distinct(), "grp", "left_semi"), "members")
-    where = rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min(F.struct("block", "doc")).alias("at"), F.first("n").alias("n"))
-    asked = involved.select("sig").distinct().join(where, "sig").select("sig", "at.block", "at.doc")
-    sets = stored(_sets(blocks, asked, n), "sets")
+    where = stored(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min(F.struct("block", "doc")).alias("at"), F.first("n").alias("n")), "places")
 
     # First: each group with its closest neighbour, and the sets of a group in a chain.
     possible = _possible("n", "place", "before_n", "before_place", percent)
@@ -266,7 +281,7 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     ahead = lead.select(F.col("grp").alias("before"), F.col("lead").alias("u"))
     pairs = best.join(lead, "grp").join(ahead, "before").select("u", F.col("lead").alias("v"))
     own = involved.join(lead, "grp").where("sig <> lead").select(F.col("lead").alias("u"), F.col("sig").alias("v"))
-    first = stored(_verified(pairs.unionByName(own).where("u <> v").distinct(), sets, percent), "links")
+    first = stored(_verified(pairs.unionByName(own).where("u <> v").distinct(), blocks, where, n, percent), "links")
 
     # Then: all candidates in different components.
     roots = components(first)
@@ -278,7 +293,7 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     entries = stored(entries.join(mixed, "token", "left_semi"), "entries")
     other = entries.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place")
     apart = entries.join(other, "token").where("root < other_root AND " + _possible("n", "place", "other_n", "other_place", percent))
-    second = _verified(apart.select(F.col("sig").alias("u"), "v").distinct(), sets, percent)
+    second = _verified(apart.select(F.col("sig").alias("u"), "v").distinct(), blocks, where, n, percent)
     final = components(first.unionByName(second))
 
     sets_of = rows.join(final, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
