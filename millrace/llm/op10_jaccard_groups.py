@@ -7,9 +7,11 @@ shingle among their first ones (their prefixes). Steps:
    fixed size. Documents with equal sets are one *set* from here on.
 2. Sets with one prefix and size form a group. Prefix shingles go to buckets with their group; a bucket
    keeps the lists of shingles that several groups hold.
+   Shingles with one and the same list count as one list.
 3. Group pairs that pass the size and place filters are expanded to sets and verified exactly. First
    each group only with the neighbour in its lists that it shares most shingles with, and the sets of a
-   group in a chain. That is linear and already joins most of a cluster of near copies.
+   group with one of them; then, in lists that still hold several components, each set with its
+   neighbour in an order by hash. That is linear and joins most of a cluster of near copies.
 4. Components so far are contracted. All other candidate pairs whose sets are in different components
    are verified; pairs inside one could not change the result. A cluster of any number of near copies so
    needs no quadratic number of pairs, and no link between components is lost.
@@ -36,8 +38,10 @@ PERCENT = 85
 # Counters of the frequency table. Its size is fixed; counts only order shingles, so
 # counters shared by several shingles cost speed and never a result.
 COUNTERS = 1 << 20
+# Rounds in which sets try one neighbour per list before all remaining pairs are tried.
+NEIGHBOUR_TURNS = 3
 _PARTS = 16
-_SHARES = 128
+_SHARES = 64
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -108,9 +112,10 @@ def _frequencies(profiles: DataFrame) -> np.ndarray:
 
 
 def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFrame:
-    """Shared prefix shingles: (token, grp, n, place, before, before_n, before_place) and (grp, sig) rows.
+    """Shared prefix shingles: (token, grp, n, place, before, before_n, before_place, whole) and (grp, sig) rows.
 
-    ``before`` is the neighbour in the shingle's list, by size and group. Rows with a sig list a group's sets.
+    ``before`` is the neighbour in the shingle's list, by size and group; ``whole`` is a hash of the list.
+    Rows with a sig list a group's sets.
     """
     spark = blocks.sparkSession
     buckets = partitions(spark)
@@ -157,7 +162,7 @@ def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) ->
                     out.append((int(b), pack(member[where == b, 0], member[where == b, 1])))
                 yield pa.record_batch([pa.array([b for b, _ in out], pa.int32()), pa.array([x for _, x in out], pa.binary())], ["bucket", "blob"])
 
-    names = ["token", "grp", "n", "place", "before", "before_n", "before_place", "sig"]
+    names = ["token", "grp", "n", "place", "before", "before_n", "before_place", "whole", "sig"]
 
     def lists(group: pa.Table) -> pa.Table:
         entries, members = [], []
@@ -180,12 +185,17 @@ def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) ->
             many = np.concatenate([[False], same]) | np.concatenate([same, [False]])
             first = ~np.concatenate([[False], same])[many]
             token, ids, sizes, place = token[many], ids[many], sizes[many], place[many]
+            if not token.size:
+                first = np.zeros(0, bool)
+            starts = np.flatnonzero(first)
+            whole = np.add.reduceat(mix(ids.view(np.uint64)), starts) if token.size else token
+            whole = np.repeat(mix(whole), np.diff(np.concatenate([starts, [token.size]]))).view(np.int64) if token.size else token.view(np.int64)
             before = [pa.array(np.roll(x, 1), pa.int64(), mask=first) for x in (ids, sizes, place)]
-            columns.append([pa.array(token.view(np.int64)), pa.array(ids), pa.array(sizes), pa.array(place), *before, pa.nulls(token.size, pa.int64())])
+            columns.append([pa.array(token.view(np.int64)), pa.array(ids), pa.array(sizes), pa.array(place), *before, pa.array(whole), pa.nulls(token.size, pa.int64())])
         if members:
             pairs = np.unique(np.stack([np.concatenate(x) for x in zip(*members)]), axis=1)
             none = pa.nulls(pairs.shape[1], pa.int64())
-            columns.append([none, pa.array(pairs[0]), none, none, none, none, none, pa.array(pairs[1])])
+            columns.append([none, pa.array(pairs[0]), none, none, none, none, none, none, pa.array(pairs[1])])
         return pa.concat_tables([pa.table(c, names) for c in columns])
 
     packed = blocks.select("texts").mapInArrow(prefixes, sent)
@@ -209,7 +219,7 @@ def _sets(blocks: DataFrame, wanted: DataFrame, n: int, counted: bool) -> DataFr
                 for _, items in shingle_sets(np.concatenate(texts), cuts, n):
                     sigs.append(signature(items))
                     if counted:
-                        items = np.bincount((items >> np.uint64(57)).astype(np.int64), minlength=_SHARES)
+                        items = np.bincount((items >> np.uint64(58)).astype(np.int64), minlength=_SHARES)
                     sets.append(items.astype(np.int32) if counted else items.view(np.int64))
                     held += items.size
                     if held > 1 << 19:
@@ -222,25 +232,25 @@ def _sets(blocks: DataFrame, wanted: DataFrame, n: int, counted: bool) -> DataFr
     return found.mapInArrow(pick, f"sig bigint, items array<{'int' if counted else 'bigint'}>")
 
 
+def _placed(sigs: DataFrame, where: DataFrame) -> DataFrame:
+    return sigs.distinct().join(where, "sig").select("sig", "at.block", "at.doc")
+
+
 def _verified(pairs: DataFrame, blocks: DataFrame, where: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (u, v) whose sets are similar enough, by exact intersection.
+    """The pairs (u, v) whose sets are similar enough, by exact intersection; only their sets are fetched."""
+    pairs = stored(pairs, "pairs")
+    asked = _placed(pairs.select(F.explode(F.array("u", "v")).alias("sig")), where)
+    sets = stored(_sets(blocks, asked, n, False), "sets")
+    left = sets.select(F.col("sig").alias("u"), F.col("items").alias("a"))
+    right = sets.select(F.col("sig").alias("v"), F.col("items").alias("b"))
+    both = F.size(F.array_intersect("a", "b")).cast("bigint")
+    return pairs.join(left, "u").join(right, "v").where(both * (100 + percent) >= (F.size("a") + F.size("b")) * percent).select("u", "v")
 
-    First with the sets' counts in hash ranges: the intersection is at most the sum of the lesser
-    counts. Whole sets are fetched only for pairs that this bound admits, and only those sets.
-    """
-    for counted in (True, False):
-        pairs = stored(pairs, "pairs")
-        asked = pairs.select(F.explode(F.array("u", "v")).alias("sig")).distinct().join(where, "sig").select("sig", "at.block", "at.doc")
-        sets = stored(_sets(blocks, asked, n, counted), "sets")
-        left = sets.select(F.col("sig").alias("u"), F.col("items").alias("a"))
-        right = sets.select(F.col("sig").alias("v"), F.col("items").alias("b"))
-        if counted:
-            both = F.aggregate(F.zip_with("a", "b", lambda x, y: F.least(x, y)), F.lit(0), lambda x, y: x + y)
-            total = F.aggregate("a", F.lit(0), lambda x, y: x + y) + F.aggregate("b", F.lit(0), lambda x, y: x + y)
-        else:
-            both, total = F.size(F.array_intersect("a", "b")), F.size("a") + F.size("b")
-        pairs = pairs.join(left, "u").join(right, "v").where(both.cast("bigint") * (100 + percent) >= total.cast("bigint") * percent).select("u", "v")
-    return pairs
+
+def _alike(a: str, b: str, n: str, other_n: str, percent: int) -> str:
+    """SQL condition: an intersection is at most the sum of the lesser counts in each hash range."""
+    most = f"aggregate(zip_with({a}, {b}, (x, y) -> least(x, y)), 0L, (t, x) -> t + x)"
+    return f"{100 + percent} * {most} >= {percent} * ({n} + {other_n})"
 
 
 def _possible(n: str, place: str, other_n: str, other_place: str, percent: int) -> str:
@@ -265,7 +275,11 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     rows = profiles.where("part IS NULL").select("block", "doc", "doc_id", "sig", "n")
     links = _prefix_lists(blocks, _frequencies(profiles), n, percent)
     links = stored(links, "prefixes")
-    lists = links.where("token IS NOT NULL").drop("sig")
+    every = links.where("token IS NOT NULL").drop("sig")
+    # Of shingles with the same list one stays, with the number of them. Each alone is a complete
+    # condition for a pair, so the others add no candidate.
+    chosen = every.groupBy("whole").agg(F.min("token").alias("one"), F.count_distinct("token").alias("weight")).withColumnRenamed("whole", "list")
+    lists = stored(every.join(chosen, (F.col("whole") == F.col("list")) & (F.col("token") == F.col("one"))).drop("whole", "list", "one"), "lists")
     members = links.where("sig IS NOT NULL").select("grp", "sig").distinct()
     # A group of several sets is a list of its own: its sets share the whole prefix.
     inside = members.groupBy("grp").agg(F.count("*").alias("c")).where("c > 1").select("grp")
@@ -273,28 +287,49 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     involved = stored(members.join(listed.unionByName(inside).distinct(), "grp", "left_semi"), "members")
     where = stored(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min(F.struct("block", "doc")).alias("at"), F.first("n").alias("n")), "places")
 
+    # Each set's counts in hash ranges, a bound on any intersection.
+    counts = stored(_sets(blocks, _placed(involved.select("sig"), where), n, True), "counts")
+
     # First: each group with its closest neighbour, and the sets of a group in a chain.
     possible = _possible("n", "place", "before_n", "before_place", percent)
-    near = lists.where(f"before IS NOT NULL AND {possible}").groupBy("grp", "before").agg(F.count("*").alias("c"))
+    near = lists.where(f"before IS NOT NULL AND {possible}").groupBy("grp", "before").agg(F.sum("weight").alias("c"))
     best = near.groupBy("grp").agg(F.max(F.struct("c", "before")).alias("b")).select("grp", "b.before")
     lead = involved.groupBy("grp").agg(F.min("sig").alias("lead"))
     ahead = lead.select(F.col("grp").alias("before"), F.col("lead").alias("u"))
     pairs = best.join(lead, "grp").join(ahead, "before").select("u", F.col("lead").alias("v"))
     own = involved.join(lead, "grp").where("sig <> lead").select(F.col("lead").alias("u"), F.col("sig").alias("v"))
-    first = stored(_verified(pairs.unionByName(own).where("u <> v").distinct(), blocks, where, n, percent), "links")
+    pairs = pairs.unionByName(own).where("u <> v").distinct()
+    pairs = pairs.join(counts.selectExpr("sig AS u", "items AS a"), "u").join(counts.selectExpr("sig AS v", "items AS b"), "v")
+    total = [f"aggregate({c}, 0L, (t, x) -> t + x)" for c in "ab"]
+    first = stored(_verified(pairs.where(_alike("a", "b", *total, percent)).select("u", "v"), blocks, where, n, percent), "links")
 
-    # Then: all candidates in different components.
-    roots = components(first)
-    at = involved.join(roots, F.col("sig") == F.col("node"), "left").select("grp", "sig", F.coalesce("root", "sig").alias("root"))
     sized = lists.select("token", "grp", "n", "place")
-    whole = at.join(inside, "grp", "left_semi").join(where.select("sig", "n"), "sig").selectExpr("grp AS token", "sig", "root", "n", "0L AS place")
-    entries = sized.join(at, "grp").select("token", "sig", "root", "n", "place").unionByName(whole)
-    mixed = entries.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-    entries = stored(entries.join(mixed, "token", "left_semi"), "entries")
-    other = entries.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place")
-    apart = entries.join(other, "token").where("root < other_root AND " + _possible("n", "place", "other_n", "other_place", percent))
-    second = _verified(apart.select(F.col("sig").alias("u"), "v").distinct(), blocks, where, n, percent)
-    final = components(first.unionByName(second))
+    whole = involved.join(inside, "grp", "left_semi").join(where.select("sig", "n"), "sig").selectExpr("grp AS token", "sig", "n", "0L AS place")
+    entries = sized.join(involved, "grp").select("token", "sig", "n", "place").unionByName(whole)
+    entries = stored(entries.join(counts, "sig").select("token", "sig", "n", "place", "items"), "entries")
+
+    def apart(found: DataFrame) -> DataFrame:
+        """Entries of lists that hold sets of several components, with their components."""
+        roots = components(found).select(F.col("node"), "root")
+        held = entries.join(roots, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "place", "items", F.coalesce("root", "sig").alias("root"))
+        mixed = held.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
+        return stored(held.join(mixed, "token", "left_semi"), "mixed")
+
+    possible = _possible("n", "place", "other_n", "other_place", percent)
+    alike = _alike("items", "other_items", "n", "other_n", percent)
+    links = first
+    for turn in range(NEIGHBOUR_TURNS):
+        lag = [f"lag({c}) OVER (PARTITION BY token ORDER BY xxhash64(sig, {turn}), sig) AS other_{c}" for c in ("sig", "n", "place", "root", "items")]
+        near = apart(links).selectExpr("*", *lag).where("root <> other_root AND " + possible + " AND " + alike)
+        near = near.select(F.least("sig", "other_sig").alias("u"), F.greatest("sig", "other_sig").alias("v")).distinct()
+        links = stored(links.unionByName(_verified(near, blocks, where, n, percent)), "links")
+
+    # Then: all candidates in different components.
+    left = apart(links)
+    other = left.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place", "items AS other_items")
+    pairs = left.join(other, "token").where("root < other_root AND " + possible + " AND " + alike)
+    last = _verified(pairs.select(F.col("sig").alias("u"), "v").distinct(), blocks, where, n, percent)
+    final = components(links.unionByName(last))
 
     sets_of = rows.join(final, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
     least = sets_of.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "of")
