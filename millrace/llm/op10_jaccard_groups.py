@@ -39,7 +39,7 @@ PERCENT = 85
 # counters shared by several shingles cost speed and never a result.
 COUNTERS = 1 << 20
 # Rounds in which sets try one neighbour per list before all remaining pairs are tried.
-NEIGHBOUR_TURNS = 3
+NEIGHBOUR_TURNS = 2
 _PARTS = 16
 _SHARES = 64
 
@@ -299,19 +299,24 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     pairs = best.join(lead, "grp").join(ahead, "before").select("u", F.col("lead").alias("v"))
     own = involved.join(lead, "grp").where("sig <> lead").select(F.col("lead").alias("u"), F.col("sig").alias("v"))
     pairs = pairs.unionByName(own).where("u <> v").distinct()
-    pairs = pairs.join(counts.selectExpr("sig AS u", "items AS a"), "u").join(counts.selectExpr("sig AS v", "items AS b"), "v")
-    total = [f"aggregate({c}, 0L, (t, x) -> t + x)" for c in "ab"]
-    first = stored(_verified(pairs.where(_alike("a", "b", *total, percent)).select("u", "v"), blocks, where, n, percent), "links")
+
+    def admitted(pairs: DataFrame) -> DataFrame:
+        """The pairs that the counts do not exclude."""
+        total = [f"aggregate({c}, 0L, (t, x) -> t + x)" for c in "ab"]
+        both = pairs.join(counts.selectExpr("sig AS u", "items AS a"), "u").join(counts.selectExpr("sig AS v", "items AS b"), "v")
+        return both.where(_alike("a", "b", *total, percent)).select("u", "v")
+
+    first = stored(_verified(admitted(pairs), blocks, where, n, percent), "links")
 
     sized = lists.select("token", "grp", "n", "place")
     whole = involved.join(inside, "grp", "left_semi").join(where.select("sig", "n"), "sig").selectExpr("grp AS token", "sig", "n", "0L AS place")
     entries = sized.join(involved, "grp").select("token", "sig", "n", "place").unionByName(whole)
-    entries = stored(entries.join(counts, "sig").select("token", "sig", "n", "place", "items"), "entries")
+    entries = stored(entries, "entries")
 
     def apart(found: DataFrame) -> DataFrame:
         """Entries of lists that hold sets of several components, with their components."""
         roots = components(found).select(F.col("node"), "root")
-        held = entries.join(roots, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "place", "items", F.coalesce("root", "sig").alias("root"))
+        held = entries.join(roots, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "place", F.coalesce("root", "sig").alias("root"))
         mixed = held.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
         return stored(held.join(mixed, "token", "left_semi"), "mixed")
 
@@ -319,13 +324,14 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     alike = _alike("items", "other_items", "n", "other_n", percent)
     links = first
     for turn in range(NEIGHBOUR_TURNS):
-        lag = [f"lag({c}) OVER (PARTITION BY token ORDER BY xxhash64(sig, {turn}), sig) AS other_{c}" for c in ("sig", "n", "place", "root", "items")]
-        near = apart(links).selectExpr("*", *lag).where("root <> other_root AND " + possible + " AND " + alike)
+        lag = [f"lag({c}) OVER (PARTITION BY token ORDER BY xxhash64(sig, {turn}), sig) AS other_{c}" for c in ("sig", "n", "place", "root")]
+        near = apart(links).selectExpr("*", *lag).where("root <> other_root AND " + possible)
         near = near.select(F.least("sig", "other_sig").alias("u"), F.greatest("sig", "other_sig").alias("v")).distinct()
+        near = admitted(near)
         links = stored(links.unionByName(_verified(near, blocks, where, n, percent)), "links")
 
     # Then: all candidates in different components.
-    left = apart(links)
+    left = apart(links).join(counts, "sig")
     other = left.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place", "items AS other_items")
     pairs = left.join(other, "token").where("root < other_root AND " + possible + " AND " + alike)
     last = _verified(pairs.select(F.col("sig").alias("u"), "v").distinct(), blocks, where, n, percent)
