@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Fixed value: the format of stamps in the archives.
 ARCHIVE_STAMP_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 MICROS = 1_000_000
+# Timestamps count microseconds in 64 bits.
+MOST_SECONDS = (2**63 - 1) // MICROS
 
 
 def archive_stamp(stamp: Column) -> Column:
@@ -15,8 +18,10 @@ def archive_stamp(stamp: Column) -> Column:
 
 
 def epoch_seconds_to_timestamp(epoch: Column) -> Column:
-    """Timestamp from epoch seconds given as text or number; null when not a whole number."""
-    return F.timestamp_seconds(epoch.try_cast("bigint"))
+    """Timestamp from epoch seconds given as text or number; null when not a whole number or out of range."""
+    seconds = epoch.try_cast("bigint")
+    fits = seconds.between(-MOST_SECONDS, MOST_SECONDS)
+    return F.timestamp_seconds(F.when(fits, seconds))
 
 
 def _micros(moment: Column) -> Column:

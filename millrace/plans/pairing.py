@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 # Members of one group that a single task compares with each other at most (on each side).
 BLOCK = 4_000
-# A split group holds more than this share of all members, so at most 100,000 groups are
-# split and the broadcast list of them (three numbers each) stays within a few megabytes.
+# Every group above a block is split. The list of those that hold more than this share of all members, at
+# most 100,000 by that definition, is broadcast; the others fit one task as rows and join it by group.
 SPLIT_SHARE = 0.00001
 
 
-def _split_groups(members: DataFrame, group: str, low: str, high: str, block: int) -> DataFrame:
-    """Groups too large for one task, with the number of blocks to cut them into.
+def _split_groups(
+    members: DataFrame, group: str, low: str, high: str, block: int
+) -> tuple[DataFrame, DataFrame]:
+    """Groups too large for one task to compare, with the number of blocks to cut them into: hot ones, others.
 
     Groups in which every member has the same single code yield no pair and get no block.
     """
@@ -26,9 +28,12 @@ def _split_groups(members: DataFrame, group: str, low: str, high: str, block: in
     able = F.coalesce(F.sum(F.when(pairing, F.col("_size"))), F.lit(0))
     limit = sizes.agg(able * F.lit(SPLIT_SHARE)).scalar()
     blocks = F.when(pairing, F.ceil(F.col("_size") / F.lit(block)))
-    return sizes.where((F.col("_size") > F.lit(block)) & (F.col("_size") > limit)).select(
-        F.col(group).alias("_group"), F.coalesce(blocks, F.lit(0)).alias("_blocks")
-    )
+    large = sizes.where(F.col("_size") > F.lit(block))
+
+    def listed(groups: DataFrame) -> DataFrame:
+        return groups.select(F.col(group).alias("_group"), F.coalesce(blocks, F.lit(0)).alias("_blocks"))
+
+    return listed(large.where(F.col("_size") > limit)), listed(large.where(F.col("_size") <= limit))
 
 
 def differing_pairs(
@@ -47,12 +52,14 @@ def differing_pairs(
     """
     # Filtered before the sizes are taken, so that all three uses share one exchange.
     members = members.where(F.col(group).isNotNull() & F.col(member).isNotNull())
-    split = F.broadcast(_split_groups(members, group, low, high, block))
-    sized = (
-        members.join(split, F.col(group) == F.col("_group"), "left")
-        .select(group, member, low, high, F.coalesce("_blocks", F.lit(1)).alias("_blocks"))
-        .where(F.col("_blocks") > 0)
-    )
+    hot, others = _split_groups(members, group, low, high, block)
+    hot = F.broadcast(hot)
+    in_group = F.col(group) == F.col("_group")
+    spread = members.join(hot, in_group).select(group, member, low, high, "_blocks")
+    rest = members.join(hot.select("_group"), in_group, "left_anti").join(others, in_group, "left")
+    sized = spread.unionByName(
+        rest.select(group, member, low, high, F.coalesce("_blocks", F.lit(1)).alias("_blocks"))
+    ).where(F.col("_blocks") > 0)
     own = F.pmod(F.xxhash64(member), F.col("_blocks"))
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_blocks") - 1))
 

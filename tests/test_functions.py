@@ -108,3 +108,9 @@ def test_uuid(spark):
     texts = [row.u for row in found.collect()]
     assert len(set(texts)) == 100
     assert all(len(text) == 32 and int(text, 16) >= 0 for text in texts)
+
+
+def test_epoch_out_of_the_timestamp_range_is_null(frame):
+    rows = frame([("99999999999999999",), ("-99999999999999999",), ("1",), ("x",), (None,)], "e string")
+    got = rows.select(M.epoch_seconds_to_timestamp(F.col("e")).isNull().alias("n")).collect()
+    assert [r.n for r in got] == [True, True, False, True, True]

@@ -158,9 +158,11 @@ def literal_pairs(some, s, n):
 
 
 @pytest.mark.parametrize("block", [None, 1, 2, 5])
-@pytest.mark.parametrize("seed", range(3))
-def test_opposite_pairs_equal_the_plain_join(frame, rows, monkeypatch, block, seed):
-    monkeypatch.setattr(pairing, "SPLIT_SHARE", 0.0)
+@pytest.mark.parametrize("share", [0.0, 1.0])
+@pytest.mark.parametrize("seed", range(2))
+def test_opposite_pairs_equal_the_plain_join(frame, rows, monkeypatch, block, share, seed):
+    """Large windows are split whether their sizes are broadcast (share 0) or joined (share 1)."""
+    monkeypatch.setattr(pairing, "SPLIT_SHARE", share)
     random.seed(seed)
     data = []
     for ticket in range(600):
@@ -197,8 +199,20 @@ def test_pairs_need_differing_cmds_and_enough_trades(frame, rows):
 def test_windows_of_a_single_cmd_are_not_paired(frame):
     """A huge window in which everybody buys must cost nothing."""
     members = frame([(0, i, 1, 1) for i in range(50)], "g bigint, m bigint, low int, high int")
-    split = pairing._split_groups(members, "g", "low", "high", block=10)
-    assert split.count() == 1 and split.first()._blocks == 0
+    hot, others = pairing._split_groups(members, "g", "low", "high", block=10)
+    assert hot.union(others).count() == 1 and hot.union(others).first()._blocks == 0
+
+
+def test_every_large_window_is_split_with_the_shipped_share(frame):
+    """However many members there are in all: below the share a window is listed too, only not broadcast."""
+    rows = [(0, i, i % 2, i % 2) for i in range(300)] + [(1, i, i % 2, i % 2) for i in range(25)]
+    members = frame(rows, "g bigint, m bigint, low int, high int")
+    for share in (pairing.SPLIT_SHARE, 0.5):
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(pairing, "SPLIT_SHARE", share)
+            hot, others = pairing._split_groups(members, "g", "low", "high", block=10)
+            blocks = {r._group: r._blocks for r in hot.union(others).collect()}
+        assert blocks == {0: 30, 1: 3}
 
 
 def test_suspicious_pairs_are_a_set_over_both_platforms(frame, rows):
