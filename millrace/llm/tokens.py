@@ -12,7 +12,7 @@ import pyarrow as pa
 from millrace.llm.words import word_hashes, words_of
 
 # Words kept per worker process; when full the store starts anew, so memory stays bounded.
-STORED_WORDS = 1_500_000
+STORED_WORDS = 700_000
 
 # The word pattern of the tokenizer file, with the letters and digits among the first 256 code points
 # written out: its classes \p{L}, \p{N} and \s. Fixed values.
@@ -52,7 +52,7 @@ class WordTokenizer:
         self._reset()
 
     def _reset(self) -> None:
-        self.pieces: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {}
         self.keys = np.zeros(0, np.uint64)
         self.checks = np.zeros(0, np.uint64)
         self.begins = np.zeros(0, np.int64)
@@ -73,7 +73,7 @@ class WordTokenizer:
                 shown = piece if piece.isascii() else piece.encode().decode("latin-1")
                 if not (shown.isascii() and shown.isprintable()):
                     shown = shown.translate(self.letters)
-                ids = self.pieces[piece] = [t.id for t in self.model.tokenize(shown)]
+                ids = self.pieces[piece] = tuple(t.id for t in self.model.tokenize(shown))
             out += ids
         return out
 
