@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from millrace.functions import micros_between, seconds_between, tumbling_index
 from millrace.functions.times import MICROS
 from millrace.plans.pairing import differing_pairs
-from millrace.plans.skew import HOT_ROWS, join_group_stats, keys_for_anti_join
+from millrace.plans.skew import join_group_stats
 
 OPEN, CLOSE = 0, 1
 
@@ -24,8 +24,8 @@ def all_logins(deals: DataFrame, trades: DataFrame) -> DataFrame:
 
 
 def marked_keys(marks: DataFrame, key: str, flags: str = "type") -> DataFrame:
-    """Keys marked to be skipped: the lowest bit of the flags is set."""
-    return keys_for_anti_join(marks.where(F.col(flags).bitwiseAND(1) == 1), key, flags)
+    """Keys marked to be skipped: the lowest bit of the flags is set. A key may come several times."""
+    return marks.where(F.col(flags).bitwiseAND(1) == 1).select(key)
 
 
 def drop_marked(rows: DataFrame, marks: DataFrame, key: str, flags: str = "type") -> DataFrame:
@@ -48,9 +48,7 @@ def short_trades(trades: DataFrame, n: int = 60) -> DataFrame:
     )
 
 
-def short_deals(
-    deals: DataFrame, n: int = 60, marks: DataFrame | None = None, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def short_deals(deals: DataFrame, n: int = 60, marks: DataFrame | None = None) -> DataFrame:
     """Opening deals whose position's latest close follows in less than n seconds.
 
     Deals are summarised per position first: its latest close and its number of opens. Marks
@@ -71,7 +69,7 @@ def short_deals(
     opens = deals.where(is_open & F.col("positionid").isNotNull()).select(
         "login", "positionid", F.col("time").alias("t1")
     )
-    paired = join_group_stats(opens, positions, ["positionid"], "_opens", hot_rows=hot_rows)
+    paired = join_group_stats(opens, positions, ["positionid"])
     return paired.where(micros_between(F.col("t1"), F.col("t2")) < n * MICROS).select(
         "login", "positionid", "t1", "t2", seconds_between(F.col("t1"), F.col("t2")).alias("diff")
     )
@@ -143,21 +141,21 @@ def _window_users(rows: DataFrame, id: str) -> DataFrame:
     )
 
 
-def same_window_counts(rows: DataFrame, id: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def same_window_counts(rows: DataFrame, id: str) -> DataFrame:
     """Windowed rows with the number of trades their login has in the window."""
     keys = ["time_window", "login"]
     stats = _window_users(rows, id).select(*keys, "same_window_count")
-    return join_group_stats(rows, stats, keys, "same_window_count", hot_rows=hot_rows)
+    return join_group_stats(rows, stats, keys)
 
 
-def busy_users(rows: DataFrame, id: str, n: int = 10, hot_rows: int = HOT_ROWS) -> DataFrame:
+def busy_users(rows: DataFrame, id: str, n: int = 10) -> DataFrame:
     """Windowed rows of logins with more than n trades in the window, and how many such logins it has."""
     keys = ["time_window", "login"]
     users = _window_users(rows, id).select(*keys, "same_window_count")
     users = users.where(F.col("same_window_count") > n)
     sizes = users.groupBy("time_window").agg(F.count("*").alias("users_count"))
-    sized = join_group_stats(users, sizes, ["time_window"], "users_count", hot_rows=hot_rows)
-    return join_group_stats(rows, sized, keys, "same_window_count", hot_rows=hot_rows)
+    sized = join_group_stats(users, sizes, ["time_window"])
+    return join_group_stats(rows, sized, keys)
 
 
 def crowded_windows(busy: DataFrame) -> DataFrame:

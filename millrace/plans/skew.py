@@ -1,73 +1,25 @@
 """Joins that stay balanced when one key holds a large share of the rows.
 
-Two situations occur in this library:
-
-* The many side meets a plain (not aggregated) one side. Both sides are then
-  exchanged by the join key directly and AQE splits an oversized partition of the
-  many side at run time. ``keys_for_anti_join`` keeps a de-duplicated right side in
-  that form.
-* The one side is an aggregate over the same key. Spark reuses the aggregate's
-  partitioning, which AQE will not split, so ``join_group_stats`` takes the hot
-  groups apart itself. The aggregate already knows each group's size, so finding
-  the hot groups costs no further pass over the rows.
+A join whose sides are both exchanged by the join key itself is one that AQE splits at run time where a partition of
+the many side is oversized. An aggregate over the same key would bring its own partitioning, which AQE
+does not split. Comparing the keys as one struct exchanges both sides anew, so statistics of a group join their rows that
+way. (A null-safe comparison does so only while a key may be null.)
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A hot group holds more than this share of all rows, so at most 100,000 groups are hot. That
-# bound, a few megabytes, is what makes broadcasting the hot groups safe at any scale.
-HOT_SHARE = 0.00001
-# Groups up to this many rows are cheap for one task whatever their share.
-HOT_ROWS = 100_000
-
-
-def hot_groups(
-    stats: DataFrame, weight: str, share: float = HOT_SHARE, rows: int = HOT_ROWS
-) -> DataFrame:
-    """Rows of ``stats`` (one per group) whose weight exceeds both limits; at most 1 / share rows."""
-    limit = stats.agg(F.coalesce(F.sum(weight), F.lit(0)) * F.lit(share)).scalar()
-    return stats.where((F.col(weight) > F.lit(rows)) & (F.col(weight) > limit))
-
-
-def _renamed(stats: DataFrame, keys: list[str]) -> tuple[DataFrame, list[str], Column]:
-    """Stats with key columns renamed, and the null-safe condition matching them to the originals."""
-    inner = [f"_stats_{key}" for key in keys]
-    renamed = stats.withColumnsRenamed(dict(zip(keys, inner)))
-    condition = reduce(
-        Column.__and__,
-        [F.col(key).eqNullSafe(F.col(name)) for key, name in zip(keys, inner)],
-    )
-    return renamed, inner, condition
 
-
-def join_group_stats(
-    rows: DataFrame, stats: DataFrame, keys: list[str], weight: str, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def join_group_stats(rows: DataFrame, stats: DataFrame, keys: list[str]) -> DataFrame:
     """Inner join of rows with one-row-per-group stats; null keys match, as in a window partition.
 
-    Rows of hot groups join a broadcast of the few hot stats and are never shuffled. The
-    others are shuffled by key, where no group exceeds the larger of ``hot_rows`` and 0.001 % of
-    the rows.
-    ``weight`` is the stats column counting the group's rows. Sizes are exact counts, so both
-    branches always agree on which groups are hot. Stats with no columns beyond keys and weight
-    are computed once: every use then needs the same columns and shares one exchange.
-    """
-    stats, inner, condition = _renamed(stats, keys)
-    hot = hot_groups(stats, weight, rows=hot_rows)
-    spread = rows.join(F.broadcast(hot), condition)
-    rest = rows.join(F.broadcast(hot.select(*inner)), condition, "left_anti").join(stats, condition)
-    return spread.unionByName(rest).drop(*inner)
-
-
-def keys_for_anti_join(rows: DataFrame, key: str, *extra: str) -> DataFrame:
-    """Key column of rows, with repeated (key, extra) copies removed before any shuffle by key.
-
-    De-duplicating on ``extra`` as well leaves the result partitioned differently from the
-    key, so a following join exchanges both its sides and AQE may split a hot key.
+    Unlike a window function it gathers no group in one task: AQE splits a hot group's rows over several tasks, each with
+    a copy of the group's single stats row.
     """
-    return rows.select(key, *extra).distinct().select(key)
+    inner = {key: f"_stats_{key}" for key in keys}
+    # Structs are equal where their fields are equal or both null.
+    here = F.struct(*[F.col(key).alias(key) for key in inner])
+    there = F.struct(*[F.col(name).alias(key) for key, name in inner.items()])
+    return rows.join(stats.withColumnsRenamed(inner), here == there).drop(*inner.values())

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from millrace import schemas
 from millrace.sources.jdbc import Connection, ReadSlices
@@ -27,12 +29,51 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], multi_line:
     return spark.read.schema(schemas.LATEST_RATE).option("multiLine", multi_line).json(paths)
 
 
+def _headers(spark: SparkSession, paths: str | Sequence[str]) -> list[Row]:
+    """(header, files) of CSV files: the first line that is not blank, with the files that start with it.
+
+    Only the first block of each file is looked at; what reaches the driver is a list of files, as Spark keeps one anyway.
+    """
+    lines = spark.read.text(paths).where(F.trim("value") != "")
+    starts = lines.where(F.col("_metadata.file_block_start") == 0)
+    # File names come encoded; a plus sign is one.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    first = starts.select(path.alias("file"), "value", F.monotonically_increasing_id().alias("place"))
+    header = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
+    return header.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+
+
 def read_csv(
     spark: SparkSession, paths: str | Sequence[str], schema: str | None = None
 ) -> DataFrame:
-    """CSV with a header line; every column a string unless a schema is given."""
+    """CSV files with a header line each; every column a string unless a schema is given.
+
+    Columns go by name. Files may differ in their columns and in their order: a column that a file lacks is null in
+    its rows. With a schema, exactly its columns are returned and text that does not fit a type becomes null.
+    A header must not contain line breaks. One Spark job takes the headers; files with one header are read together.
+    """
     reader = spark.read.option("header", True)
-    return (reader if schema is None else reader.schema(schema)).csv(paths)
+    headers = _headers(spark, paths)
+    if len(headers) > 1:
+        rows = reader.csv(headers[0].files)
+        for other in headers[1:]:
+            rows = rows.unionByName(reader.csv(other.files), allowMissingColumns=True)
+    elif headers or schema is None:
+        rows = reader.csv(paths)
+    else:
+        return reader.schema(schema).csv(paths)
+    if schema is None:
+        return rows
+    typed = StructType.fromDDL(schema)
+    held = {name.lower(): name for name in rows.columns}
+    return rows.select(
+        *[
+            (F.col(f"`{held[f.name.lower()]}`") if f.name.lower() in held else F.lit(None))
+            .try_cast(f.dataType)
+            .alias(f.name)
+            for f in typed
+        ]
+    )
 
 
 def read_lines(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.operators.rates import daily_rates, drop_last_day, parse_rates, rows_of_new_days
 from millrace.operators.warehouse import TableSpec, new_rows
+from millrace.plans.scratch import stored
 
 
 def create_table(
@@ -124,6 +125,9 @@ def read_daily_rates(spark: SparkSession, path: str) -> DataFrame:
 def refresh_daily(raw: DataFrame, path: str) -> None:
     """Compute the newest stored day again, add missing days, leave all other days untouched.
 
+    ``raw`` holds text rates or typed ones (with ``symbol``). It is read once; only months that receive a day are read
+    from the stored table in full, of the others just the date.
+
     Only months that receive a day are written: their other days are carried over as stored. The
     result is staged beside the table and moved into place when the job commits. A newest day
     for which no raw rates remain stays as it is. Undated rates are aggregated anew each time.
@@ -135,17 +139,16 @@ def refresh_daily(raw: DataFrame, path: str) -> None:
     Rebalancing by month gives few files per month, while AQE splits a month that is much larger
     than the others.
     """
-    stored = _stored_rates(raw.sparkSession, path)
-    arriving = rows_of_new_days(parse_rates(raw), drop_last_day(stored))
+    spark = raw.sparkSession
+    table = _stored_rates(spark, path)
+    typed = raw if "symbol" in raw.columns else parse_rates(raw)
+    arriving = stored(daily_rates(rows_of_new_days(typed, drop_last_day(table))).withColumn("month", _month()), "arriving")
     days = arriving.select("date").distinct()
-    months = days.select(_month()).distinct()
-    carried = (
-        stored.where(F.col("date").isNotNull())
-        .join(F.broadcast(months), "month", "left_semi")
-        .join(F.broadcast(days), "date", "left_anti")
-    )
+    # A list of months, which the date type bounds, reaches the scan as a partition filter.
+    months = [row.month for row in arriving.where("month IS NOT NULL").select("month").distinct().collect()]
+    carried = table.where(F.col("month").isin(months) & F.col("date").isNotNull()).join(F.broadcast(days), "date", "left_anti")
     (
-        carried.unionByName(daily_rates(arriving).withColumn("month", _month()))
+        carried.unionByName(arriving)
         .hint("rebalance", "month")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")

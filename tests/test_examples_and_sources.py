@@ -139,3 +139,29 @@ def test_activity_report_writes_every_result(spark, tmp_path):
     }
     pushes = readers.read_csv(spark, str(tmp_path / "out" / "active_submitters"))
     assert [tuple(r) for r in pushes.collect()] == [("u", "3")]
+
+
+def _csv(folder, *files):
+    folder.mkdir()
+    for i, content in enumerate(files):
+        (folder / f"part {i}+.csv").write_text(content)
+    return str(folder)
+
+
+def test_csv_columns_go_by_name_whatever_their_order(spark, rows, tmp_path):
+    path = _csv(tmp_path / "mixed", "date,code,rate,base\n2020-01-02,USD,1.5,EUR\n",
+                "start,end,date,code,rate,base\na,b,2020-01-03,GBP,2.5,EUR\n", "code,date\nJPY,2020-01-04\n")
+    found = readers.read_csv(spark, path).select("code", "date", "rate", "base", "start")
+    assert rows(found) == sorted(
+        [("USD", "2020-01-02", "1.5", "EUR", None), ("GBP", "2020-01-03", "2.5", "EUR", "a"), ("JPY", "2020-01-04", None, None, None)],
+        key=repr,
+    )
+    typed = readers.read_csv(spark, path, "base string, rate double, date date, code string")
+    assert {(r.code, r.rate, str(r.date)) for r in typed.collect()} == {
+        ("USD", 1.5, "2020-01-02"), ("GBP", 2.5, "2020-01-03"), ("JPY", None, "2020-01-04")}
+
+
+def test_csv_schema_in_another_order_than_the_header(spark, tmp_path):
+    path = _csv(tmp_path / "one", "date,code,rate,base\n2020-01-02,USD,x,EUR\n")
+    found = readers.read_csv(spark, path, "code string, rate double, base string, date string").first()
+    assert tuple(found) == ("USD", None, "EUR", "2020-01-02")

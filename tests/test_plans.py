@@ -51,23 +51,30 @@ def test_adaptive_execution_splits_a_hot_ticket(spark):
     ):
         plan = final_plan(kept.agg(F.sum("login")))
     assert "SortMergeJoin(skew=true)" in plan
-    assert re.search(r"partial|HashAggregate\(keys=\[ticket", plan)
+    assert "HashAggregate(keys=[ticket" not in plan  # marks are shuffled once
 
 
-def test_hot_groups_are_bounded_by_their_share(spark):
-    stats = spark.range(5000).select(
-        F.col("id").alias("k"), F.when(F.col("id") < 10, 100_000).otherwise(10).alias("n")
+def test_adaptive_execution_splits_a_hot_window(spark):
+    """A third of the rows falls in one window of one login."""
+    some = spark.range(0, 300_000, 1, 16).selectExpr(
+        "if(id % 3 = 0, 7, id) AS login", "id AS ticket", "id % 2 AS cmd", "if(id % 3 = 0, 1, id % 50) AS time_window"
     )
-    assert sorted(r.k for r in skew.hot_groups(stats, "n", rows=50).collect()) == list(range(10))
-    assert skew.hot_groups(stats, "n", share=0.2, rows=0).count() == 0
-    assert skew.hot_groups(stats.where("k < 0"), "n").count() == 0
+    counted = trades.same_window_counts(some, "ticket")
+    with settings(
+        spark,
+        spark_sql_autoBroadcastJoinThreshold="-1",
+        spark_sql_adaptive_advisoryPartitionSizeInBytes="50KB",
+        spark_sql_adaptive_skewJoin_skewedPartitionThresholdInBytes="50KB",
+        spark_sql_adaptive_skewJoin_skewedPartitionFactor="1.5",
+    ):
+        plan = final_plan(counted.agg(F.sum("same_window_count"), F.sum("ticket")))
+    assert "SortMergeJoin(skew=true)" in plan
 
 
-@pytest.mark.parametrize("hot_rows", [0, 3, 100])
-def test_group_stats_join_keeps_every_row_once(spark, frame, rows, hot_rows):
+def test_group_stats_join_keeps_every_row_once(spark, frame, rows):
     some = frame([(k, i) for k in (1, 1, 1, 1, 2, 2, 3, None, None) for i in (1, 2)], "k int, i int")
     stats = some.groupBy("k").agg(F.count("*").alias("n"))
-    found = skew.join_group_stats(some, stats.where("n > 2"), ["k"], "n", hot_rows=hot_rows)
+    found = skew.join_group_stats(some, stats.where("n > 2"), ["k"])
     assert rows(found) == rows(frame([(1, i, 8) for i in (1, 2) for _ in range(4)]
         + [(2, i, 4) for i in (1, 2) for _ in range(2)] + [(None, i, 4) for i in (1, 2) for _ in range(2)],
         "k int, i int, n bigint"))

@@ -114,11 +114,11 @@ def test_refresh_of_undated_rates_is_repeatable(spark, frame, tmp_path):
 def test_latest_document(spark, tmp_path):
     (tmp_path / "latest.json").write_text(
         '{\n "motd": {"msg": "m", "url": "u"},\n "success": "True", "base": "USD",\n'
-        ' "date": "2022-09-22",\n "rates": {\n  "BTC": 5.4e-05\n }\n}'
+        ' "date": "2031-07-05",\n "rates": {\n  "BTC": 0.0078125\n }\n}'
     )
     documents = readers.read_documents(spark, str(tmp_path))
     assert [tuple(r) for r in rates.rate_from_document(documents, "BTC").collect()] == [
-        (5.4e-05, "2022-09-22")
+        (0.0078125, "2031-07-05")
     ]
     assert rates.rate_from_document(documents, "EUR").first().rate is None
 
