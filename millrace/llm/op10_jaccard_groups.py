@@ -11,7 +11,8 @@ shingle among their first ones (their prefixes). Steps:
 3. Group pairs that pass the size and place filters are expanded to sets and verified exactly. First
    each group only with the neighbour in its lists that it shares most shingles with, and the sets of a
    group with one of them; then, in lists that still hold several components, each set with its
-   neighbour in an order by hash. That is linear and joins most of a cluster of near copies.
+   neighbour in an order by hash. That is linear and joins most of a cluster of near copies. Before any
+   set is fetched, parity sketches exclude pairs that surely differ too much.
 4. Components so far are contracted. All other candidate pairs whose sets are in different components
    are verified; pairs inside one could not change the result. A cluster of any number of near copies so
    needs no quadratic number of pairs, and no link between components is lost.
@@ -41,7 +42,8 @@ COUNTERS = 1 << 20
 # Rounds in which sets try one neighbour per list before all remaining pairs are tried.
 NEIGHBOUR_TURNS = 2
 _PARTS = 16
-_SHARES = 64
+# 64-bit words of the parity sketch that is carried with every list entry, however long its document.
+_CARRIED = 64
 
 
 def shingle_sets(data: np.ndarray, bounds: np.ndarray, n: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -64,6 +66,20 @@ def signature(items: np.ndarray) -> int:
     return int(mix(np.array([np.bitwise_xor.reduce(mix(items ^ place))]) + np.uint64(items.size))[0].view(np.int64))
 
 
+def parity_sketch(items: np.ndarray, most: int | None = None) -> np.ndarray:
+    """A bit per cell: whether an odd number of the set's hashes falls there; 2 to 4 cells per item, 64 or more.
+
+    Two sets differ in at least as many items as their sketches differ in bits. A sketch of half the
+    length is the exclusive or of both halves, down to ``most`` words if given.
+    """
+    cells = 64 << max(0, (2 * items.size - 1) // 64).bit_length()
+    odd = (np.bincount((items & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1).astype(np.uint8)
+    words = np.packbits(odd, bitorder="little").view("<i8")
+    while most and words.size > most:
+        words = words[: words.size // 2] ^ words[words.size // 2 :]
+    return words
+
+
 def _profiles(blocks: DataFrame, n: int) -> DataFrame:
     """(block, doc_id, doc, sig, n) rows for documents and (part, counts) rows for the frequency table."""
 
@@ -202,34 +218,38 @@ def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) ->
     return packed.groupBy("bucket").applyInArrow(lists, ", ".join(f"{name} bigint" for name in names))
 
 
-def _sets(blocks: DataFrame, wanted: DataFrame, n: int, counted: bool) -> DataFrame:
-    """(sig, items) of the sets in ``wanted`` (sig, block, doc).
-
-    Items are the shingle hashes; if ``counted``, their numbers in each of ``_SHARES`` ranges of hashes.
-    """
+def _sets(blocks: DataFrame, wanted: DataFrame, n: int, sketched: bool) -> DataFrame:
+    """(sig, items) of the sets in ``wanted`` (sig, block, doc), or their sketches (sig, size, carried, items) if ``sketched``."""
+    names = ["sig", "size", "carried", "items"] if sketched else ["sig", "items"]
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = pa.list_(pa.int32() if counted else pa.int64())
+        def made(sets: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            columns = [pa.array([sig for sig, _ in sets], pa.int64())]
+            kind = pa.list_(pa.int64())
+            if sketched:
+                columns.append(pa.array([items.size for _, items in sets], pa.int64()))
+                columns.append(pa.array([parity_sketch(items, _CARRIED) for _, items in sets], kind))
+            columns.append(pa.array([parity_sketch(items) if sketched else items.view(np.int64) for _, items in sets], kind))
+            return pa.record_batch(columns, names)
+
         for batch in batches:
             for blob, replies in zip(batch.column("texts").to_pylist(), batch.column("replies").to_pylist()):
                 ids, bounds, data = read_block(blob)
                 texts = [data[bounds[i] : bounds[i + 1]] for i in sorted({r["bucket"] for r in replies})]
                 cuts = np.concatenate([[0], np.cumsum([t.size for t in texts])]).astype(np.int64)
-                sigs, sets, held = [], [], 0
+                sets, held = [], 0
                 for _, items in shingle_sets(np.concatenate(texts), cuts, n):
-                    sigs.append(signature(items))
-                    if counted:
-                        items = np.bincount((items >> np.uint64(58)).astype(np.int64), minlength=_SHARES)
-                    sets.append(items.astype(np.int32) if counted else items.view(np.int64))
+                    sets.append((signature(items), items))
                     held += items.size
                     if held > 1 << 19:
-                        yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sets, kind)], ["sig", "items"])
-                        sigs, sets, held = [], [], 0
-                yield pa.record_batch([pa.array(sigs, pa.int64()), pa.array(sets, kind)], ["sig", "items"])
+                        yield made(sets)
+                        sets, held = [], 0
+                yield made(sets)
 
     asked = wanted.select("block", F.col("doc").alias("bucket"), F.lit(None).cast("binary").alias("blob"))
     found = with_replies(blocks.select("block", "texts"), asked).where("replies IS NOT NULL")
-    return found.mapInArrow(pick, f"sig bigint, items array<{'int' if counted else 'bigint'}>")
+    kinds = {"sig": "bigint", "size": "bigint", "carried": "array<bigint>", "items": "array<bigint>"}
+    return found.mapInArrow(pick, ", ".join(f"{name} {kinds[name]}" for name in names))
 
 
 def _placed(sigs: DataFrame, where: DataFrame) -> DataFrame:
@@ -248,9 +268,23 @@ def _verified(pairs: DataFrame, blocks: DataFrame, where: DataFrame, n: int, per
 
 
 def _alike(a: str, b: str, n: str, other_n: str, percent: int) -> str:
-    """SQL condition: an intersection is at most the sum of the lesser counts in each hash range."""
-    most = f"aggregate(zip_with({a}, {b}, (x, y) -> least(x, y)), 0L, (t, x) -> t + x)"
-    return f"{100 + percent} * {most} >= {percent} * ({n} + {other_n})"
+    """SQL condition: the sets of two sketches may differ in few enough items for the threshold.
+
+    Sizes within the threshold differ by less than half, so one sketch is at most twice the other.
+    """
+
+    def halved(x: str) -> str:
+        half = f"CAST(size({x}) / 2 AS INT)"
+        return f"zip_with(slice({x}, 1, {half}), slice({x}, {half} + 1, {half}), (p, q) -> p ^ q)"
+
+    def bits(x: str, y: str) -> str:
+        return f"aggregate(zip_with({x}, {y}, (p, q) -> bit_count(p ^ q)), 0L, (t, c) -> t + c)"
+
+    least = (
+        f"CASE WHEN size({a}) = size({b}) THEN {bits(a, b)} WHEN size({a}) > size({b}) THEN {bits(halved(a), b)} "
+        f"ELSE {bits(a, halved(b))} END"
+    )
+    return f"{100 + percent} * ({least}) <= {100 - percent} * ({n} + {other_n})"
 
 
 def _possible(n: str, place: str, other_n: str, other_place: str, percent: int) -> str:
@@ -287,8 +321,9 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     involved = stored(members.join(listed.unionByName(inside).distinct(), "grp", "left_semi"), "members")
     where = stored(rows.where("sig IS NOT NULL").groupBy("sig").agg(F.min(F.struct("block", "doc")).alias("at"), F.first("n").alias("n")), "places")
 
-    # Each set's counts in hash ranges, a bound on any intersection.
-    counts = stored(_sets(blocks, _placed(involved.select("sig"), where), n, True), "counts")
+    # Each set's parity sketch, which bounds its difference from any other: few pairs of sets that are not
+    # similar get past it, so that little more is fetched than what is linked.
+    sketches = stored(_sets(blocks, _placed(involved.select("sig"), where), n, True), "sketches")
 
     # First: each group with its closest neighbour, and the sets of a group in a chain.
     possible = _possible("n", "place", "before_n", "before_place", percent)
@@ -301,10 +336,11 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     pairs = pairs.unionByName(own).where("u <> v").distinct()
 
     def admitted(pairs: DataFrame) -> DataFrame:
-        """The pairs that the counts do not exclude."""
-        total = [f"aggregate({c}, 0L, (t, x) -> t + x)" for c in "ab"]
-        both = pairs.join(counts.selectExpr("sig AS u", "items AS a"), "u").join(counts.selectExpr("sig AS v", "items AS b"), "v")
-        return both.where(_alike("a", "b", *total, percent)).select("u", "v")
+        """The pairs that the sketches do not exclude."""
+        left = sketches.selectExpr("sig AS u", "size AS m", "items AS a")
+        right = sketches.selectExpr("sig AS v", "size AS other_m", "items AS b")
+        close = f"100 * least(m, other_m) >= {percent} * greatest(m, other_m)"
+        return pairs.join(left, "u").join(right, "v").where(f"{close} AND {_alike('a', 'b', 'm', 'other_m', percent)}").select("u", "v")
 
     first = stored(_verified(admitted(pairs), blocks, where, n, percent), "links")
 
@@ -321,7 +357,7 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         return stored(held.join(mixed, "token", "left_semi"), "mixed")
 
     possible = _possible("n", "place", "other_n", "other_place", percent)
-    alike = _alike("items", "other_items", "n", "other_n", percent)
+    alike = _alike("carried", "other_carried", "n", "other_n", percent)
     links = first
     for turn in range(NEIGHBOUR_TURNS):
         lag = [f"lag({c}) OVER (PARTITION BY token ORDER BY xxhash64(sig, {turn}), sig) AS other_{c}" for c in ("sig", "n", "place", "root")]
@@ -331,10 +367,10 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
         links = stored(links.unionByName(_verified(near, blocks, where, n, percent)), "links")
 
     # Then: all candidates in different components.
-    left = apart(links).join(counts, "sig")
-    other = left.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place", "items AS other_items")
+    left = apart(links).join(sketches.select("sig", "carried"), "sig")
+    other = left.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place", "carried AS other_carried")
     pairs = left.join(other, "token").where("root < other_root AND " + possible + " AND " + alike)
-    last = _verified(pairs.select(F.col("sig").alias("u"), "v").distinct(), blocks, where, n, percent)
+    last = _verified(admitted(pairs.select(F.col("sig").alias("u"), "v").distinct()), blocks, where, n, percent)
     final = components(links.unionByName(last))
 
     sets_of = rows.join(final, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
