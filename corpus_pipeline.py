@@ -11,6 +11,10 @@ from millrace.llm.columns import table
 from millrace.plans.scratch import new_dir
 from millrace.session import ship_package
 
+# Near copies: sets of five words, Jaccard similarity 0.80 or more. The query op10 has its own values.
+NEAR_WORDS = 5
+NEAR_PERCENT = 80
+
 
 def _matched(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     """Documents whose doc_id is (left_semi) or is not (left_anti) among ``ids``; null matches null."""
@@ -28,7 +32,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of near copies: the one with the smallest doc_id."""
     ship_package(spark)
-    found = op10_jaccard_groups.jaccard_classes(docs)
+    found = op10_jaccard_groups.jaccard_classes(docs, NEAR_WORDS, NEAR_PERCENT)
     return _matched(docs, found.where("NOT doc_id <=> component_id").select("doc_id").distinct(), "left_anti")
 
 
