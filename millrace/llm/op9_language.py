@@ -74,20 +74,25 @@ def _kernel(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
 
 
 def fit(docs: DataFrame, training: str, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Fit on the ``sample`` rows per language with the smallest hash of the text, among rows where ``training`` holds.
+    """Fit on the ``sample`` distinct texts per language with the smallest hash, among rows where ``training`` holds.
 
-    The rows are chosen by content, so the model does not depend on the table's layout or order. The sample
-    (at most ``sample`` texts of SAMPLE_CHARS characters per language) is all that reaches the driver.
+    Texts are chosen by content, so the model does not depend on the table's layout or order, nor on how
+    often a text is repeated: each language keeps all of its distinct texts up to ``sample``. They (at most
+    ``sample`` of SAMPLE_CHARS characters per language) are all that reaches the driver.
     """
-    rows = docs.where(training).where("lang IS NOT NULL AND text IS NOT NULL AND text RLIKE '\\\\p{L}'")
-    hashed = rows.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, SAMPLE_CHARS).alias("text"))
-    counts = hashed.groupBy("lang").agg(F.count("*").alias("c")).select(F.col("lang").alias("l"), "c")
-    # Thin the rows by hash first (about four times the sample remains), then rank exactly.
-    thin = hashed.join(counts, F.col("lang") == F.col("l")).where(
+    rows = docs.where(training).where("lang IS NOT NULL AND text IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("h"))
+    # Copies are reduced to one key on the map side, before anything is counted, thinned or ranked.
+    distinct = rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
+    counts = distinct.groupBy("lang").agg(F.count("*").alias("c")).select(F.col("lang").alias("l"), "c")
+    # Thin the texts by hash first (about four times the sample remains), then rank exactly.
+    thin = distinct.join(counts, F.col("lang") == F.col("l")).where(
         F.pmod("h", F.lit(1 << 30)) < F.greatest(F.lit(1.0), F.lit(4.0 * sample) / F.col("c") * (1 << 30))
     )
-    ranked = thin.selectExpr("lang", "text", "row_number() OVER (PARTITION BY lang ORDER BY pmod(h, 1073741824), text) AS r").where(F.col("r") <= sample)
-    found = sorted(ranked.select("lang", "text", "r").collect(), key=lambda x: (x.lang, x.r))
+    ranked = thin.selectExpr("lang AS l", "h AS k", "row_number() OVER (PARTITION BY lang ORDER BY pmod(h, 1073741824), h) AS r").where(F.col("r") <= sample)
+    # The sample bounds what is broadcast; equal texts are again combined on the map side.
+    chosen = rows.join(F.broadcast(ranked), (F.col("lang") == F.col("l")) & (F.col("h") == F.col("k")))
+    chosen = chosen.groupBy("lang", "r").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    found = sorted(chosen.collect(), key=lambda x: (x.lang, x.r))
     languages = sorted({r.lang for r in found})
     if not languages:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32))

@@ -224,6 +224,18 @@ def test_language_on_held_out_rows(spark):
     assert {r.lang_pred for r in op9_language.predict(odd, op9_language.fit(odd.limit(0), "true")).collect()} == {"und"}
 
 
+def test_language_keeps_distinct_texts_of_often_copied_rows(spark):
+    ship_package(spark)
+    few = [(f"der wald und die stadt {'ab'[i % 2]}{i}", "de") for i in range(3)]
+    many = [(f"the house and the {i} trees of {i * 7}", "en") for i in range(500)]
+    rows = [x for x in few for _ in range(40)] + many + [(many[0][0], "en")] * 3000
+    model = op9_language.fit(spark.createDataFrame(rows, "text string, lang string"), "true", sample=6, landmarks=4)
+    plain = op9_language.fit(spark.createDataFrame(few + many, "text string, lang string"), "true", sample=6, landmarks=4)
+    assert model.languages == ["de", "en"]
+    assert model.grams.tolist() == plain.grams.tolist() and np.allclose(model.weights, plain.weights)
+    assert set(np.concatenate([op9_language.text_grams(t) for t, _ in few]).tolist()) <= set(model.grams.tolist())
+
+
 def test_jaccard_classes(docs, empty):
     got = by_id(op10_jaccard_groups.jaccard_classes(docs), "n_shingles", "component_id")
     assert got == brute.classes([(r[0], r[1] or "") for r in brute.awkward(ITEM)])
