@@ -16,24 +16,17 @@ NEAR_WORDS = 5
 NEAR_PERCENT = 80
 
 
-def _matched(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-    """Documents whose doc_id is (left_semi) or is not (left_anti) among ``ids``; null matches null."""
-    return docs.join(ids.select(F.col("doc_id").alias("_id")), F.col("doc_id").eqNullSafe(F.col("_id")), how)
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows; texts that are null or without letters go."""
     ship_package(spark)
     model = op9_language.fit(docs, f"NOT ({op9_language.HELD_OUT})")
-    found = op9_language.predict(docs, model)
-    return _matched(docs, found.where("lang_pred = 'und'").select("doc_id").distinct(), "left_anti")
+    return op9_language.predict(docs, model, keep=docs.columns).where("lang_pred <> 'und'").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near copies: the one with the smallest doc_id."""
+    """Exactly one row of each class of near copies: the one with the smallest doc_id, null being the largest."""
     ship_package(spark)
-    found = op10_jaccard_groups.jaccard_classes(docs, NEAR_WORDS, NEAR_PERCENT)
-    return _matched(docs, found.where("NOT doc_id <=> component_id").select("doc_id").distinct(), "left_anti")
+    return op10_jaccard_groups.one_of_each_class(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +46,8 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no passage of the benchmark."""
-    found = op7_decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _matched(docs, found.where("n_hit > 0").select("doc_id").distinct(), "left_anti")
+    found = op7_decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), keep=docs.columns)
+    return found.where("n_hit = 0").select("row.*")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

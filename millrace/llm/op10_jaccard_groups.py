@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.blocks import read_block, store_blocks, with_replies
+from millrace.llm.blocks import read_block, read_extra, store_blocks, with_replies
 from millrace.llm.columns import id_and_text, ids_to_arrow, mix, pack, partitions, table, unpack
 from millrace.llm.components import components
 from millrace.llm.repeats import slices
@@ -304,7 +304,51 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     one doc_id count as documents of their own; a null doc_id counts as largest, and a class of only such
     rows has a null component_id. An empty table gives an empty result; other columns are not read.
     """
-    blocks = store_blocks(id_and_text(docs), [])
+    sets_of = _classed(store_blocks(id_and_text(docs), []), n, percent)
+    least = sets_of.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "of")
+    return sets_of.join(least, F.col("root") == F.col("of"), "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
+    )
+
+
+def one_of_each_class(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` without those of a class (see ``jaccard_classes``) that has another row before.
+
+    Exactly one row of each class stays: that with the smallest doc_id, null being the largest, and of rows
+    with equal ids the first by its set and stored place. Rows are told apart by their place in the
+    stored blocks, not by doc_id, which may be null or repeated. A row without words is its own class.
+    """
+    columns = docs.columns
+    others = [F.struct(*[F.col(c) for c in columns if c != "text"], F.col("text").isNull().alias("_none")).alias("row")]
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *others)
+    blocks = store_blocks(plain, ["row"])
+    sets_of = _classed(blocks, n, percent)
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sig", "block", "doc")).alias("at")
+    ones = sets_of.where("root IS NOT NULL").groupBy("root").agg(first).select("at.block", "at.doc")
+    ones = ones.unionByName(sets_of.where("root IS NULL").select("block", "doc"))
+    # A block has a bounded number of bytes; its rows that stay are a list of places.
+    gathered = ones.groupBy("block").agg(F.collect_list("doc").alias("stay"))
+    type_of = plain.schema["row"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for blob, extra, stay in zip(*(batch.column(c).to_pylist() for c in ("texts", "extra", "stay"))):
+                _, bounds, data = read_block(blob)
+                at = np.sort(np.array(stay, np.int64))
+                rows = read_extra(extra).column("row").combine_chunks()
+                raw = data.tobytes()
+                for begin in range(0, at.size, 2000):
+                    own = at[begin : begin + 2000]
+                    texts = [raw[a:b] for a, b in zip(bounds[own].tolist(), bounds[own + 1].tolist())]
+                    yield pa.record_batch([pa.array(texts, pa.binary()), rows.take(pa.array(own))], ["text", "row"])
+
+    found = blocks.join(gathered, "block").select("texts", "extra", "stay").mapInArrow(cut, f"text binary, row {type_of}")
+    text = F.when(~F.col("row._none"), F.col("text").cast("string")).alias("text")
+    return found.select(*[text if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
+def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
+    """(block, doc, doc_id, n, sig, root) of every row of the blocks; root names its class, null without words."""
     profiles = stored(_profiles(blocks, n), "profiles")
     rows = profiles.where("part IS NULL").select("block", "doc", "doc_id", "sig", "n")
     links = _prefix_lists(blocks, _frequencies(profiles), n, percent)
@@ -373,11 +417,7 @@ def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) ->
     last = _verified(admitted(pairs.select(F.col("sig").alias("u"), "v").distinct()), blocks, where, n, percent)
     final = components(links.unionByName(last))
 
-    sets_of = rows.join(final, F.col("sig") == F.col("node"), "left").select("doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
-    least = sets_of.where("root IS NOT NULL").groupBy("root").agg(F.min("doc_id").alias("least")).withColumnRenamed("root", "of")
-    return sets_of.join(least, F.col("root") == F.col("of"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
-    )
+    return rows.join(final, F.col("sig") == F.col("node"), "left").select("block", "doc", "doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,8 +52,8 @@ def _windows(rows: DataFrame, lengths: list[int], *keys: str) -> DataFrame:
     return rows.select(*keys, F.explode_outer(F.expr(whole)).alias("w")).select(*keys, "w.*")
 
 
-def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """doc_id, n_words, n_hit, n_items, item_ids of every document.
+def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, n_words, n_hit, n_items, item_ids of every document, with the ``keep`` columns as one struct ``row``.
 
     ``docs`` has doc_id and text, ``items`` item_id and text. Words are runs of letters, digits and
     non-ASCII characters, A-Z lower-cased. n_hit counts the document's words inside any occurrence of an
@@ -62,7 +62,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     their own text; repeated items are counted by distinct item_id; an empty table of items leaves all
     documents clean; other columns are not read.
     """
-    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("print"))
+    carried = ["row"] if keep else []
+    row = [F.struct(*keep).alias("row")] if keep else []
+    docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("print"), *row)
     held = items.selectExpr("cast(item_id AS string) AS item", f"{_words('text')} AS words").where("item IS NOT NULL AND size(words) > 0")
     sizes = held.select(F.least(F.size("words"), F.lit(window)).alias("n"))
     # At most ``window`` values: the lengths of windows that the items have.
@@ -73,10 +75,10 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
         more = held.where(f"size(words) = {n}").selectExpr("item", "0 AS place", f"{n} AS length", "array_join(words, ' ') AS window")
         sought = more if sought is None else sought.unionByName(more)
     worded = docs.select("doc_id", "print", F.expr(_words("text")).alias("words"))
-    counted = docs.selectExpr("doc_id", "print", f"size({_words('text')}) AS n_words")
+    counted = docs.selectExpr("doc_id", "print", f"size({_words('text')}) AS n_words", *carried)
     if sought is None:
         none = F.lit(0).cast("bigint")
-        return counted.select("doc_id", F.col("n_words").cast("bigint").alias("n_words"), none.alias("n_hit"), none.alias("n_items"), F.array().cast("array<string>").alias("item_ids"))
+        return counted.select("doc_id", F.col("n_words").cast("bigint").alias("n_words"), none.alias("n_hit"), none.alias("n_items"), F.array().cast("array<string>").alias("item_ids"), *carried)
     sought = stored(sought.where("window IS NOT NULL").select("item", "length", "window").distinct(), "windows")
     small = sought.select("window").distinct().count() <= BROADCAST_WINDOWS
     held_small = F.broadcast if small else (lambda x: x)
@@ -114,6 +116,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
+        *carried,
     )
 
 

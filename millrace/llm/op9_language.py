@@ -173,8 +173,8 @@ class Scorer:
         return sum(np.unique(_codes(points, n)).size for n in range(1, NGRAMS + 1) if points.size >= n)
 
 
-def predict(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, lang_pred and score of every row, from its whole text.
+def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+    """doc_id, lang_pred and score of every row, from its whole text, with the ``keep`` columns as one struct ``row``.
 
     ``und`` with score 0 if the text is null or has no letter, or if nothing was learned. A text that shares no
     n-gram with any landmark gets a learned language with a low score. The score is the winner's
@@ -203,11 +203,20 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                     found = scorer.scores([texts[begin + j] for j in used])
                     best[used] = found.argmax(1)
                     value[used] = np.clip(found.max(1), 0, 1)
-                yield pa.record_batch([batch.column("doc_id").slice(begin, len(part)), pa.array(names[best].tolist(), pa.string()), pa.array(value)], ["doc_id", "lang_pred", "score"])
+                carried = {c: batch.column(c).slice(begin, len(part)) for c in ("text", "row") if keep}
+                made = {"doc_id": batch.column("doc_id").slice(begin, len(part)), "lang_pred": pa.array(names[best].tolist(), pa.string()), "score": pa.array(value)}
+                yield pa.record_batch([*made.values(), *carried.values()], [*made, *carried])
                 begin, total = i + 1, 0
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
-    return rows.mapInArrow(score, "doc_id bigint, lang_pred string, score double")
+    columns = [F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text"), F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered")]
+    if not keep:
+        return docs.select(*columns).mapInArrow(score, "doc_id bigint, lang_pred string, score double")
+    # The text goes to the workers and back once, not again inside ``row``.
+    others = F.struct(*[F.col(c) for c in keep if c != "text"], F.lit(0).alias("_"))
+    rows = docs.select(*columns, others.alias("row"))
+    found = rows.mapInArrow(score, f"doc_id bigint, lang_pred string, score double, text string, row {rows.schema['row'].dataType.simpleString()}")
+    row = F.struct(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep])
+    return found.select("doc_id", "lang_pred", "score", row.alias("row"))
 
 
 HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1"

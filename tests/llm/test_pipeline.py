@@ -22,3 +22,25 @@ def test_near_copies_take_five_words_at_eighty_percent(spark):
     assert [brute.classes(rows, 5, 80)[k][1] for k in (1, 2, 3)] == [1, 1, 3]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string")
     assert sorted(r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()) == [1, 3]
+
+
+def test_stages_judge_rows_and_not_ids(spark, tmp_path):
+    item = "the quick brown fox jumps over the lazy dog while eleven owls watch"
+    spark.createDataFrame([(1, item)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    ddl = "doc_id bigint, text string, lang string"
+    clean = [(None, "the first clean text of the fixture", "en"), (7, "the other clean text of that fixture", "en")]
+    learned = [(i, f"the house and the {i} trees", "en") for i in range(100, 106)]
+
+    def left(stage, rows):
+        return sorted(map(tuple, stage(spark, spark.createDataFrame(rows, ddl), str(tmp_path)).collect()), key=repr)
+
+    bad = [(None, None, "en"), (None, "12 !", None), (7, "", "en")]
+    assert left(corpus_pipeline.language, learned + clean + clean + bad) == sorted(learned + clean + clean, key=repr)
+    dirty = [(None, f"some lead {item}", "en"), (7, item.upper(), "en")]
+    assert left(corpus_pipeline.decontaminated, clean + clean + dirty) == sorted(clean + clean, key=repr)
+    copy = edited(NEAR)
+    rows = [*clean, clean[1], (3, copy, "en"), (3, copy, "en"), (None, edited(NEAR, 9), "en"), (None, "all null ids", "en"), (None, "ALL null ids", "en"), (None, None, "fr"), (None, None, "fr")]
+    found = left(corpus_pipeline.near_copies, rows)
+    lone = [r for r in found if r[1] and r[1].lower() == "all null ids"]
+    assert len(lone) == 1
+    assert sorted(set(found) - set(lone), key=repr) == sorted([*clean, (3, copy, "en"), (None, None, "fr")], key=repr) and len(found) == 6
