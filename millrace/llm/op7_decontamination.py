@@ -57,7 +57,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
 
     ``docs`` has doc_id and text, ``items`` item_id and text. Words are runs of letters, digits and
     non-ASCII characters, A-Z lower-cased. n_hit counts the document's words inside any occurrence of an
-    item's window, item_ids (as strings, sorted) lists the items with occurring windows. Null and
+    item's window, item_ids (as strings, sorted) lists the items with occurring windows. Items with a null
+    item_id hit like others and count in n_items as one, but are not in the list. Null and
     empty texts have no words and hit nothing; a null doc_id is kept; rows with one doc_id are judged by
     their own text; repeated items are counted by distinct item_id; an empty table of items leaves all
     documents clean; other columns are not read.
@@ -65,7 +66,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     carried = ["row"] if keep else []
     row = [F.struct(*keep).alias("row")] if keep else []
     docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("print"), *row)
-    held = items.selectExpr("cast(item_id AS string) AS item", f"{_words('text')} AS words").where("item IS NOT NULL AND size(words) > 0")
+    held = items.selectExpr("cast(item_id AS string) AS item", f"{_words('text')} AS words").where("size(words) > 0")
     sizes = held.select(F.least(F.size("words"), F.lit(window)).alias("n"))
     # At most ``window`` values: the lengths of windows that the items have.
     lengths = sorted(r.n for r in sizes.distinct().collect())
@@ -105,16 +106,16 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     places = hits.select("doc_id", "print", F.explode(F.expr("sequence(place, place + length - 1)")).alias("at")).distinct()
     covered = places.groupBy("doc_id", "print").agg(F.count("*").alias("n_hit"))
     named = hits.select("doc_id", "print", "length", "window").distinct().join(held_small(sought), ["length", "window"]).select("doc_id", "print", "item").distinct()
-    listed = named.groupBy("doc_id", "print").agg(F.array_sort(F.collect_list("item")).alias("item_ids"))
+    listed = named.groupBy("doc_id", "print").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_list("item")).alias("item_ids"))
     facts = covered.join(listed, covered["doc_id"].eqNullSafe(listed["doc_id"]) & (covered["print"] == listed["print"])).select(
-        covered["doc_id"].alias("hit_id"), covered["print"].alias("hit_print"), "n_hit", "item_ids"
+        covered["doc_id"].alias("hit_id"), covered["print"].alias("hit_print"), "n_hit", "n_items", "item_ids"
     )
     joined = counted.join(facts, counted["doc_id"].eqNullSafe(F.col("hit_id")) & (F.col("print") == F.col("hit_print")), "left")
     return joined.select(
         "doc_id",
         F.col("n_words").cast("bigint").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
-        F.coalesce(F.size("item_ids"), F.lit(0)).cast("bigint").alias("n_items"),
+        F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
         *carried,
     )

@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from millrace.llm.columns import table
 
-_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#:@]+)"
+# User information, up to the last @ before the path, is not part of the host.
+_HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:@]+)"
 
 
 def host(url: str) -> str:

@@ -197,6 +197,23 @@ def test_contamination_equals_sql(spark, docs, empty):
     assert op7_decontamination.contamination(empty, items).count() == 0
 
 
+def test_items_without_id_hit_too(spark):
+    docs = spark.createDataFrame([(1, f"lead {ITEM} tail"), (2, "a lazy dog"), (3, "clean")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(None, ITEM), (None, "lazy dog"), (9, ITEM)], "item_id bigint, text string")
+    con = duckdb.connect()
+    con.register("documents", docs.toPandas())
+    con.register("benchmark", items.toPandas().astype({"item_id": "Int64"}))
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.item_ids) for r in op7_decontamination.contamination(docs, items).collect())
+    assert got == [(1, 15, 13, 2, ["9"]), (2, 3, 2, 1, []), (3, 1, 0, 0, [])]
+    assert [r[:4] for r in got] == con.execute("SELECT doc_id, n_words, n_hit, n_items FROM (" + op7_decontamination.ORACLE_SQL + ") ORDER BY 1").fetchall()
+
+
+def test_host_comes_after_user_information(spark):
+    urls = ["http://user@Blocked.org/", "ftp://u:p@a.b.org:8/x@y", "http://u@v@c.org", "http://d.org/@e.org", "http://@f.org", "http://g.org?x@h.org", "u@i.org"]
+    got = spark.createDataFrame([(u,) for u in urls], "url string").selectExpr(f"{op8_url_lists.host('url')} AS host").collect()
+    assert [r.host for r in got] == ["blocked.org", "a.b.org", "c.org", "d.org", "f.org", "g.org", None]
+
+
 def test_url_lists_hold_from_addition_to_removal(spark):
     events = spark.createDataFrame(
         [("b.org", "2024-01-05", True), ("b.org", "2024-01-09", False), ("b.org", "2024-01-09", False), ("x.b.org", "2024-01-08", True), ("c.org", "2024-01-03", False),
