@@ -25,6 +25,8 @@ from millrace.llm.columns import table
 # characters. Prediction reads all texts whole.
 SAMPLE = 400
 SAMPLE_CHARS = 4000
+PIECES = 8  # a longer text is read in so many pieces, one at a hashed place in each stretch of it
+DENSE = 1 << 24  # n-grams are looked up in a table of all combinations up to this size, else by search
 LANDMARKS = 48  # per language
 RIDGE = 0.1
 NGRAMS = 3
@@ -73,12 +75,20 @@ def _kernel(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
     return (presence(a) @ presence(b).T) / sizes
 
 
+def _pieces(text: str) -> str:
+    """SQL for the pieces of a text, SAMPLE_CHARS characters in all: the whole text if it has no more."""
+    size, stretch = SAMPLE_CHARS // PIECES, f"(length({text}) div {PIECES})"
+    at = f"i * {stretch} + pmod(xxhash64({text}, i), {stretch} - {size} + 1) + 1"
+    cut = f"transform(sequence(0, {PIECES - 1}), i -> substring({text}, CAST({at} AS INT), {size}))"
+    return f"CASE WHEN length({text}) <= {SAMPLE_CHARS} THEN array({text}) ELSE {cut} END"
+
+
 def fit(docs: DataFrame, training: str, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Fit on the ``sample`` distinct texts per language with the smallest hash, among rows where ``training`` holds.
 
     Texts are chosen by content, so the model does not depend on the table's layout or order, nor on how
     often a text is repeated: each language keeps all of its distinct texts up to ``sample``. They (at most
-    ``sample`` of SAMPLE_CHARS characters per language) are all that reaches the driver.
+    ``sample`` of SAMPLE_CHARS characters per language, drawn from the whole text) are all that reaches the driver.
     """
     rows = docs.where(training).where("lang IS NOT NULL AND text IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("h"))
     # Copies are reduced to one key on the map side, before anything is counted, thinned or ranked.
@@ -91,12 +101,12 @@ def fit(docs: DataFrame, training: str, sample: int = SAMPLE, landmarks: int = L
     ranked = thin.selectExpr("lang AS l", "h AS k", "row_number() OVER (PARTITION BY lang ORDER BY pmod(h, 1073741824), h) AS r").where(F.col("r") <= sample)
     # The sample bounds what is broadcast; equal texts are again combined on the map side.
     chosen = rows.join(F.broadcast(ranked), (F.col("lang") == F.col("l")) & (F.col("h") == F.col("k")))
-    chosen = chosen.groupBy("lang", "r").agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
+    chosen = chosen.groupBy("lang", "r").agg(F.min(F.expr(_pieces("text"))).alias("pieces"))
     found = sorted(chosen.collect(), key=lambda x: (x.lang, x.r))
     languages = sorted({r.lang for r in found})
     if not languages:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32))
-    sets = [text_grams(r.text) for r in found]
+    sets = [np.unique(np.concatenate([text_grams(p) for p in r.pieces])) for r in found]
     labels = np.array([languages.index(r.lang) for r in found])
     marks = [s for s, r in zip(sets, found) if r.r <= landmarks]
     values, vectors = np.linalg.eigh(_kernel(marks, marks).astype(np.float64))
@@ -117,7 +127,7 @@ def fit(docs: DataFrame, training: str, sample: int = SAMPLE, landmarks: int = L
 
 
 class Scorer:
-    """Scores texts with a model; finds the n-grams of a character pair by a table of its rank."""
+    """Scores texts with a model; finds n-grams by the ranks of their characters, in a table or by search."""
 
     def __init__(self, model: Model):
         self.model = model
@@ -129,16 +139,30 @@ class Scorer:
         self.base = base = points.size + 1
         self.width = grams.size
         kind = grams >> np.uint64(62)
-        self.place: list[np.ndarray] = []
+        self.place: list[tuple[np.ndarray, np.ndarray | None]] = []
         for n in (1, 2, 3):
             own = np.flatnonzero(kind == (n if n < 3 else 0))
             parts = [self.rank[((grams[own] >> np.uint64(21 * (n - 1 - i))) & np.uint64(0x1FFFFF)).astype(np.int64)].astype(np.int64) for i in range(n)]
             key = np.zeros(own.size, np.int64)
             for part in parts:
                 key = key * base + part
-            table = np.full(base**n, self.width, np.int32)
-            table[key] = own
-            self.place.append(table)
+            if base**n <= DENSE:
+                table = np.full(base**n, self.width, np.int32)
+                table[key] = own
+                self.place.append((table, None))
+            else:
+                order = np.argsort(key)
+                self.place.append((own[order].astype(np.int32), key[order]))
+
+    def _found(self, n: int, key: np.ndarray) -> np.ndarray:
+        """Places of the n-grams with these keys among the model's, ``width`` for others."""
+        places, sought = self.place[n - 1]
+        if sought is None:
+            return places[key]
+        if not sought.size:
+            return np.full(key.size, self.width, np.int32)
+        at = np.minimum(np.searchsorted(sought, key), sought.size - 1)
+        return np.where(sought[at] == key, places[at], np.int32(self.width))
 
     def scores(self, texts: list[str]) -> np.ndarray:
         """One row per text, one column per language."""
@@ -150,7 +174,7 @@ class Scorer:
         keys = [rank]
         keys.append(keys[0][:-1] * self.base + rank[1:])
         keys.append(keys[1][:-1] * self.base + rank[2:])
-        found = [table[key] for table, key in zip(self.place, keys)]
+        found = [self._found(n, key) for n, key in enumerate(keys, 1)]
         out = np.zeros((len(texts), len(self.model.languages)), np.float64)
         rows = max(1, (1 << 24) // (self.width + 1))
         weights = self.model.weights

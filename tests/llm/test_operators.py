@@ -253,6 +253,25 @@ def test_language_keeps_distinct_texts_of_often_copied_rows(spark):
     assert set(np.concatenate([op9_language.text_grams(t) for t, _ in few]).tolist()) <= set(model.grams.tolist())
 
 
+def test_language_samples_whole_texts_of_many_characters(spark):
+    ship_package(spark)
+    signs = "".join(map(chr, range(0x4E00, 0x4E00 + 6000)))
+    grams = op9_language.text_grams(signs)
+    weights = np.random.default_rng(4).normal(size=(grams.size + 1, 2)).astype(np.float32)
+    model = op9_language.Model(["ja", "zh"], grams, weights)
+    texts = [signs[:500], signs[5990:] + "abc", "abc", signs[7] + "b" + signs[9:12]]
+    got = op9_language.Scorer(model).scores(texts)
+    place = {int(g): i for i, g in enumerate(grams)}
+    for row, text in zip(got, texts):  # plainly, gram by gram
+        own = op9_language.text_grams(text)
+        plain = sum((weights[place[int(g)]].astype(float) for g in own if int(g) in place), np.zeros(2))
+        assert np.allclose(row, plain / np.sqrt(own.size) + weights[-1], atol=1e-3)
+    head = "0 " * 4000
+    rows = [(head + "der wald und die stadt " * 400, "de"), (head + "the house and the trees " * 400, "en")] * 2
+    fitted = op9_language.fit(spark.createDataFrame(rows, "text string, lang string"), "true")
+    assert set(op9_language.text_grams("wald").tolist()) | set(op9_language.text_grams("house").tolist()) <= set(fitted.grams.tolist())
+
+
 def test_jaccard_classes(docs, empty):
     got = by_id(op10_jaccard_groups.jaccard_classes(docs), "n_shingles", "component_id")
     assert got == brute.classes([(r[0], r[1] or "") for r in brute.awkward(ITEM)])
