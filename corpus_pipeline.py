@@ -64,7 +64,8 @@ STAGES = [
     ("packed", packed),
 ]
 
-# Tokenizers, trained models and components are beyond SQL; tests compare with a brute-force version.
+# Tokenizers, trained models and components are beyond SQL; tests/llm/test_pipeline.py compares
+# each stage and run() with a plain version.
 ORACLE_SQL = None
 
 
