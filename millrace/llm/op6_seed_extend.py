@@ -1,10 +1,11 @@
 """Removal of repeated word passages by seed and extend.
 
 Seeds are winnowed: of the 11 ten-word grams in each window of 20 words the smallest hash, so equal windows
-share a seed at the same place. Documents meet on seeds that occur more than once; around each such seed
-a window is extended by up to ten words both ways and compared, and windows that agree are repeats.
-Neighbouring repeats join into maximal ones. Comparing is by sorting inside a seed's group, not by pairs, so
-a passage of any frequency costs its number of copies (see ``repeats``).
+share a seed at the same place. Seeds that occur more than once keep their windows, which are named by
+64 bits (the hashes of their first and last ten words) and compared by name inside the seed's group; no
+documents are joined on seeds and no match is extended word by word. Neighbouring repeats join into maximal
+ones. Comparing is by sorting, not by pairs, so a passage of any frequency costs its number of copies (see
+``repeats``).
 """
 
 from __future__ import annotations

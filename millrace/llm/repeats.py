@@ -10,8 +10,8 @@ equal anchors at equal places, so windows can be compared anchor by anchor:
    their first and last gram (they overlap, so the pair stands for the whole window), to the
    anchor's bucket. The bucket sorts them by name and document and answers which are repeats.
 
-Inside a block a run of windows that another document of the block has too is sent once, so a
-passage of any frequency reaches a bucket once per block at most. Buckets hold packed arrays and are as many
+Inside a block a run of windows that another document of the block has too is sent once. Runs at the ends
+of a shared passage hold its context too, so each occurrence sends its own. Buckets hold packed arrays and are as many
 as Spark's shuffle partitions; nothing passes through the driver. Names are 64-bit hashes that only meet
 inside one anchor's 64-bit hash, 128 bits together.
 """
