@@ -18,6 +18,9 @@ from millrace.llm import (
     op8_url_lists,
     op9_language,
     op10_jaccard_groups,
+    op11_collocations,
+    op12_quality,
+    op13_alignment,
 )
 from millrace.session import ship_package
 
@@ -36,6 +39,7 @@ def _ready(query: Query) -> Query:
 _MODULES = (
     op1_bitplanes, op2_topk, op3_packing, op4_chat, op5_suffix_dedup, op6_seed_extend,
     op7_decontamination, op8_url_lists, op9_language, op10_jaccard_groups,
+    op11_collocations, op12_quality, op13_alignment,
 )
 
 QUERIES: dict[str, Query] = {m.__name__.rpartition(".")[2]: _ready(m.query) for m in _MODULES}
@@ -46,4 +50,5 @@ SQL: dict[str, str] = {
     "op2_topk": op2_topk.ORACLE_SQL,
     "op7_decontamination": op7_decontamination.ORACLE_SQL,
     "op8_url_lists": op8_url_lists.ORACLE_SQL,
+    "op11_collocations": op11_collocations.ORACLE_SQL,
 }

@@ -1,0 +1,267 @@
+import hashlib
+import re
+import sys
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from sentencepiece import SentencePieceProcessor
+from tokenizers import Tokenizer
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import brute  # noqa: E402
+
+from millrace.llm import op11_collocations, op12_quality, op13_alignment  # noqa: E402
+from millrace.llm.op13_alignment import align  # noqa: E402
+from millrace.session import ship_package  # noqa: E402
+
+PATHS = public_tokenizers.path(op13_alignment.TOKENIZER_A), public_tokenizers.path(op13_alignment.TOKENIZER_B)
+DDL = "doc_id bigint, text string, lang string, block int, bucket int, phrase string, n int"
+
+
+def frame(spark, rows):
+    ship_package(spark)
+    return spark.createDataFrame([(*r, 1, 2, "x", 3) for r in rows], DDL)
+
+
+@pytest.fixture(scope="module")
+def empty(spark):
+    return frame(spark, [])
+
+
+# Collocations
+
+
+def chatter(seed, documents, words):
+    """Texts of few words in few phrases, with all separators, capitals, tabs and empty pieces."""
+    rng = np.random.default_rng(seed)
+    known = ["New", "york", "CITY", "é", "Ünder", "a", "b", "c", "x-y", "中文", "the", "q|"]
+    ends = [" ", " ", " ", " ", " ", "  ", "\t", ". ", ", ", "\n", "!?", ";", ":", "\x0b", "\x0c", "\r"]
+    out = []
+    for i in range(documents):
+        size = int(rng.integers(0, words))
+        text = "".join(known[min(int(rng.exponential(3)), 11)] + ends[rng.integers(len(ends))] for _ in range(size))
+        out.append((i, text, [None, "en", "und", ""][i % 4]))
+    return out
+
+
+def plain_collocations(rows, threshold, covered=50, top=2000):
+    counts, totals = defaultdict(Counter), Counter()
+    for _, text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n\x0b\x0c\r]", (text or "").translate(brute.LOWER)):
+            words = re.findall("[^ \t]+", piece)
+            totals[lang] += len(words)
+            for n in (1, 2, 3):
+                counts[lang].update(tuple(words[i : i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, c in counts.items():
+        candidates = {p: a for p, a in c.items() if len(p) > 1 and a >= threshold}
+        scored = []
+        for p, a in candidates.items():
+            cuts = [((10**6 * a * a) // (c[p[:k]] * c[p[k:]]), k) for k in range(1, len(p))]
+            value, k = min(cuts)
+            if not any(len(q) > len(p) and 100 * b >= covered * a and any(q[i : i + len(p)] == p for i in range(len(q))) for q, b in candidates.items()):
+                scored.append((-value, -a, " ".join(p).encode(), c[p[:k]], c[p[k:]]))
+        for rank, (value, a, p, left, right) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, left, right, totals[lang], -value))
+    return sorted(out)
+
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_phrases_equal_plain_counts_and_sql(spark, monkeypatch, seed):
+    rows = [*chatter(seed, 60, 120), (None, None, "en"), (7, "", None), (7, "new york " * 30, "en"), (7, "new york " * 30, "en")]
+    docs = frame(spark, rows)
+    found = sorted(tuple(r) for r in op11_collocations.collocations(docs).select(*COLUMNS).collect())
+    assert found == plain_collocations(rows, 10) and len({r[0] for r in found}) == 3
+    con = duckdb.connect()
+    con.register("documents", docs.select("text", "lang").toPandas())
+    assert found == sorted(con.execute(op11_collocations.ORACLE_SQL).fetchall())
+    small = sorted(tuple(r) for r in op11_collocations.collocations(docs, threshold=4, covered=80, top=5).select(*COLUMNS).collect())
+    assert small == plain_collocations(rows, 4, 80, 5)
+
+
+def test_phrases_of_no_documents(empty, spark):
+    assert op11_collocations.collocations(empty).count() == 0
+    assert op11_collocations.collocations(frame(spark, [(1, None, None), (2, "one two", "en")])).count() == 0
+
+
+def test_slices_of_a_long_text_lose_and_repeat_nothing(monkeypatch):
+    text = chatter(3, 1, 2)[0][1] + "".join(r[1] for r in chatter(4, 40, 60))
+    data = np.frombuffer(text.encode(), np.uint8)
+    bounds, codes = np.array([0]), np.array([5], np.uint64)
+    whole = op11_collocations.Grams(data, 0, data.size, data.size, bounds, codes)
+    for size in (1, 7, 50, 333):
+        monkeypatch.setattr(op11_collocations, "SLICE", size)
+        parts = [op11_collocations.Grams(data, *cut, bounds, codes) for cut in op11_collocations._slices(data)]
+        assert sum(p.words[0] for p in parts) == whole.words[0]
+        for n in range(3):
+            assert np.concatenate([p.by_size[n][1] for p in parts]).tolist() == whole.by_size[n][1].tolist()
+
+
+def test_summary_keeps_whatever_reaches_the_threshold():
+    rng = np.random.default_rng(5)
+    for threshold in (3, 10):
+        blocks = [np.unique(rng.zipf(1.3, 4000).astype(np.uint64) % np.uint64(50_000), return_counts=True) for _ in range(12)]
+        truth = Counter()
+        for keys, counts in blocks:
+            truth.update(dict(zip(keys.tolist(), counts.tolist())))
+        mass = sum(truth.values())
+        summary = op11_collocations.Summary(mass // threshold + 1)
+        halves = [op11_collocations.Summary(mass // threshold + 1) for _ in range(2)]
+        for i, block in enumerate(blocks):
+            halves[i % 2].merge([block])
+        for half in halves:  # summaries merge with each other too
+            summary.merge([(half.keys, half.counts)])
+            summary.taken += half.taken
+        assert summary.keys.size <= summary.capacity and summary.taken * (summary.capacity + 1) <= mass
+        kept = dict(zip(summary.keys.tolist(), summary.counts.tolist()))
+        assert all(n - summary.taken <= kept.get(k, 0) <= n for k, n in truth.items())
+        assert {k for k, n in truth.items() if n >= threshold} <= set(kept)
+    tight = op11_collocations.Summary(4)
+    tight.merge([(np.arange(9, dtype=np.uint64), np.array([9, 1, 1, 1, 1, 1, 1, 1, 5]))])
+    assert tight.taken == 1 and tight.keys.tolist() == [0, 8] and tight.counts.tolist() == [8, 4]
+
+
+# Quality
+
+
+def prose(rng):
+    return " ".join("".join(rng.choice(list("abcdefghilmnoprstu"), rng.integers(2, 9))) for _ in range(rng.integers(20, 80))).capitalize() + "."
+
+
+def junk(rng):
+    word = "".join(rng.choice(list("abcdefg"), 5))
+    return [f"{word} | {word}x | " * 20, f"{word} " * 40, prose(rng).upper().replace(" ", "!! "), prose(rng).replace(" ", "$$$ ")][rng.integers(4)]
+
+
+@pytest.fixture(scope="module")
+def texts():
+    rng = np.random.default_rng(6)
+    return [(prose(rng), 1) if rng.random() < 0.7 else (junk(rng), 0) for _ in range(600)]
+
+
+def test_prior_and_risk_from_positives_and_unlabelled(texts):
+    x = op12_quality.text_features([t.encode() for t, _ in texts])
+    y = np.array([q for _, q in texts])
+    good, rest = x[y == 1][:150], x[200:]
+    centre, scale = rest.mean(0), rest.std(0) + 1e-3
+    p, u = (op12_quality._expanded(v, centre, scale) for v in (good, rest))
+    prior = op12_quality.estimate_prior(p, u)
+    assert abs(prior - y[200:].mean()) < 0.12
+    model = op12_quality.Model(centre, scale, op12_quality.fit_non_negative(p, u, prior), prior)
+    scores = model.scores(x)
+    assert ((scores >= op12_quality.DECIDE) == (y == 1)).mean() > 0.97
+    assert scores[y == 1].min() > scores[y == 0].max() - 0.5
+    assert op12_quality.estimate_prior(p[:2], u[:2]) == 0.5
+
+
+def test_quality_learns_from_trusted_rows_only(spark, texts):
+    rows = [(i, t, "en") for i, (t, _) in enumerate(texts)] + [(3, texts[3][0], None), (None, texts[4][0], "en"), (None, None, None), (900, "", "en")]
+    docs = frame(spark, rows)
+    kinds = "doc_id bigint, quality int, text string"
+    labels = spark.createDataFrame([(i, q, "t") for i, (_, q) in enumerate(texts) if i % 2 == 0] + [(None, 1, "t"), (900, None, "t"), (2, texts[2][1], "t")], kinds)
+    training = F.expr(f"NOT {op12_quality.HELD_OUT}")
+    model = op12_quality.fit(docs, labels, training, sample=300)
+    got = op12_quality.score(docs, model).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 for r in got)
+    held = {r.doc_id for r in docs.where(op12_quality.HELD_OUT).collect()}
+    right = [(r.score >= 0.3) == (texts[r.doc_id][1] == 1) for r in got if r.doc_id in held and r.doc_id < 900]
+    assert len(right) > 80 and np.mean(right) > 0.95
+    # Neither other labels nor labels of held-out rows matter.
+    other = labels.where("quality = 1").where(training).unionByName(spark.createDataFrame([(h, 1, "t") for h in held], kinds))
+    assert np.allclose(op12_quality.fit(docs, other, training, sample=300).weights, model.weights)
+    assert op12_quality.fit(docs, labels.limit(0), training) is None
+    assert {r.score for r in op12_quality.score(docs, None).collect()} == {0.5}
+    assert op12_quality.score(docs.limit(0), model).count() == 0
+
+
+def test_features_of_long_texts_come_from_parts(monkeypatch, texts):
+    long = " ".join(t for t, _ in texts[:40])
+    whole = op12_quality.text_features([long.encode(), b"", b" \n"])
+    monkeypatch.setattr(op12_quality, "SLICE", 500)
+    assert np.allclose(op12_quality.text_features([long.encode()])[0], whole[0])
+    assert np.isfinite(whole).all() and whole.shape[1] == op12_quality.WIDTH
+
+
+# Alignment
+
+
+def plain_groups(ends_a, ends_b):
+    both = [e for e in ends_a if e in set(ends_b)]
+    return [ends_a.index(e) for e in both], [ends_b.index(e) for e in both]
+
+
+def test_runs_are_skipped_without_missing_an_end():
+    rng = np.random.default_rng(7)
+    for _ in range(300):
+        size = int(rng.integers(1, 120))
+        cuts = [sorted({*rng.choice(size, rng.integers(0, size), False).tolist(), size}) for _ in range(2)]
+        if rng.random() < 0.5:  # long stretches in common, broken here and there
+            cuts[1] = sorted(({*cuts[0]} - {*rng.choice(size, min(size, 3)).tolist()}) | {size, int(rng.integers(1, size + 1))})
+        assert align(*cuts) == plain_groups(*cuts)
+    assert align([], []) == ([], []) and align([3], []) == ([], []) and align([2], [3]) == ([], [])
+    same = list(range(1, 1000))
+    assert align(same, same) == (same and list(range(999)), list(range(999)))
+
+
+def plain_statistics(rows):
+    a, b = Tokenizer.from_file(PATHS[0]), SentencePieceProcessor(model_file=PATHS[1])
+    a.encode_special_tokens = True
+    pair = op13_alignment.Pair(*PATHS)
+    links, shown, sizes, counts = [], [], [], Counter()
+    for _, text, _ in rows:
+        ids_a = a.encode(f" {text}", add_special_tokens=False).ids if text else []
+        ids_b = b.encode(text) if text else []
+        in_a, in_b = [pair.bytes_a[i] for i in ids_a], [pair.bytes_b[i] for i in ids_b]
+        if not text or not b"".join(in_a) == b"".join(in_b) == f" {text}".encode():
+            links.append([]), shown.append(""), sizes.append((0, 0))
+            continue
+        ends = [np.cumsum([len(x) for x in side]).tolist() for side in (in_a, in_b)]
+        last = plain_groups(*ends)
+        p = q = -1
+        groups = []
+        for i, j in zip(*last):
+            groups.append(",".join(map(str, ids_a[p + 1 : i + 1])) + "|" + ",".join(map(str, ids_b[q + 1 : j + 1])))
+            p, q = i, j
+        links.append([(ids_a[i], ids_b[j]) for i, j in zip(*last)])
+        shown.append(hashlib.sha256(";".join(groups).encode()).hexdigest())
+        sizes.append((len(ids_a), len(ids_b)))
+        counts.update(links[-1])
+    highest = Counter()
+    for (_, y), n in counts.items():
+        highest[y] = max(highest[y], n)
+    return sorted(
+        ((r[0], *n, len(x), len(x), sum(counts[p] == highest[p[1]] for p in x), sum(counts[p] for p in x), s) for r, n, x, s in zip(rows, sizes, links, shown)),
+        key=repr,
+    )
+
+
+def test_alignment_equals_plain_version(spark, empty, monkeypatch):
+    rng = np.random.default_rng(8)
+    letters = list("aeinst  .,\n\t09ÄßéА中日 ▁​😀'-_|<>$") + ["<|endoftext|>", "<s>", "</s>", "<unk>", "<0x41>", "   ", "'ll", "ing "]
+    rows = [(r[0], r[1], "en") for r in brute.awkward("the quick brown fox")]
+    rows += [(None, "the quick brown fox", "en"), (None, "the quick brown fox", "en"), (5, " ", "en"), (6, "a\x00b", "en"), (8, "x" * 3000, "en"), (9, "ﬁne ½", "en")]
+    rows += [(100 + i, "".join(rng.choice(letters, rng.integers(1, 60))), "en") for i in range(200)]
+    want = plain_statistics(rows)
+    assert sum(r[3] == 0 for r in want) >= 2
+    for segment in (op13_alignment.SEGMENT, 10):  # in the driver only: the workers keep theirs
+        monkeypatch.setattr(op13_alignment, "SEGMENT", segment)
+        pair = op13_alignment.Pair(*PATHS)
+        found = list(pair.encode([(r[1] or "").encode() for r in rows]))
+        assert sorted(((r[0], x[0].size, x[1].size, x[2].size, hashlib.sha256(pair.written(*x)).hexdigest() if x[2].size else "") for r, x in zip(rows, found)), key=repr) == sorted(
+            ((r[0], r[1], r[2], r[3], r[7]) for r in want), key=repr
+        )
+    found = op13_alignment.link_statistics(frame(spark, rows).repartition(3), *PATHS)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == want
+    assert op13_alignment.link_statistics(empty, *PATHS).count() == 0
+    real = op13_alignment.alignments(frame(spark, rows[:1]), *PATHS).first()
+    assert len(real.ids_a) == want[[r[0] for r in want].index(1)][1] and real.last_a[-1] == len(real.ids_a) - 1 and real.last_b[-1] == len(real.ids_b) - 1
