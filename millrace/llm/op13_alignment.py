@@ -8,13 +8,14 @@ closed by stepping the array that lies behind, which gives the next shift.
 
 Links join the last tokens of a group. How often an id pair is linked in the whole corpus needs all
 documents: blocks of documents send their distinct pairs with counts to hash buckets of pairs, which send
-the totals back. The highest count of each B id is a table bounded by B's vocabulary. Texts are read and
-encoded once.
+the totals back. The highest count of each B id is a table bounded by B's vocabulary. Texts are read once,
+and each worker encodes a unit (what stands between two single spaces) once as long as its store holds it.
 """
 
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -34,12 +35,19 @@ from millrace.plans.scratch import stored
 TOKENIZER_A = "byte_bpe_50k.json"
 TOKENIZER_B = "piece_bpe_32k.model"
 
-SLICE = 1 << 20  # bytes of text encoded at once
-SEGMENT = 1 << 16  # characters of a text encoded as one string, if it has a place to cut
+SLICE = 1 << 20  # bytes of text whose units are looked up together
+SEGMENT = 1 << 16  # characters of a text aligned together, if it has a place to cut
+JOINED = 500  # units encoded as one string
+STORED_UNITS = 500_000  # units kept with their ids per worker process
 BLOCK_LINKS = 1 << 22  # links whose id pairs are combined before they are sent
 
-# Between two letters a single space begins a new unit for both kinds of tokenizers, so a text may be cut there.
-_CUT = re.compile("(?<=[A-Za-z]) (?=[A-Za-z])")
+# A single space between two characters that are not white space begins a new unit for both kinds of tokenizers:
+# what lies before it is encoded as if nothing followed. Limited to characters about which all libraries agree.
+_CUT = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
+_WHOLE = re.compile("[!-~À-ɏ](?:.*[!-~À-ɏ])?", re.DOTALL)
+
+
+NEAR = 4  # ends compared one by one before slices are
 
 
 def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
@@ -67,8 +75,17 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
             i += 1
             j += 1
             continue
-        run, step, limit = 1, 1, min(n - i, m - j)
-        while run < limit:  # probe further and further at this shift
+        run, limit = 1, min(n - i, m - j)
+        while run < limit and run < NEAR and ends_a[i + run] == ends_b[j + run]:
+            run += 1
+        if run == 1:
+            last_a.append(i)
+            last_b.append(j)
+            i += 1
+            j += 1
+            continue
+        step = NEAR if run == NEAR else 0
+        while step and run < limit:  # probe further and further at this shift
             step = min(step, limit - run)
             if ends_a[i + run : i + run + step] != ends_b[j + run : j + run + step]:
                 break
@@ -123,44 +140,100 @@ class Pair:
         self.size_b = np.fromiter(map(len, self.bytes_b), np.int64)
         if not self.size_b.all():
             raise ValueError(f"{path_b}: an empty entry has no end of its own")
-        # A text may only be cut into segments if no entry reaches over a space between two words.
-        self.cuts = not joining and not any(re.search(rb"[A-Za-z] [A-Za-z]", x) for x in self.bytes_a)
+        # A text may only be cut into units if A splits before such a space and no entry of B reaches over one.
+        rules = json.loads(self.a.to_str())
+        first = rules["pre_tokenizer"] or {}
+        self.cuts = not joining and rules["normalizer"] is None and first.get("type") == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
+        self.known_a: dict[str, bytes | None] = {}
+        self.known_b: dict[str, bytes | None] = {}
         # Ids as written in a group: followed by "," or by what closes their half of it.
         self.shown = [f"{i}{end}".encode() for last, size in (("|", len(self.bytes_a)), (";", len(self.bytes_b))) for end in (",", last) for i in range(size)]
 
-    def segments(self, text: str) -> list[str]:
-        """The text cut at single spaces between letters, which the segments leave out."""
-        out, begin = [], 0
-        while self.cuts and len(text) - begin > SEGMENT:
-            found = _CUT.search(text, begin + SEGMENT)
-            if not found:
-                break
-            out.append(text[begin : found.start()])
-            begin = found.end()
-        return [*out, text[begin:]]
+    def _segments(self, texts: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
+        """(text, characters, units) of every segment of every text that is not empty, in order."""
+        for i, text in enumerate(x.decode() for x in texts):
+            begin = 0
+            while begin < len(text):
+                found = _CUT.search(text, begin + SEGMENT) if self.cuts and len(text) - begin > SEGMENT else None
+                end = found.start() if found else len(text)
+                yield i, end - begin, _CUT.split(text[begin:end]) if self.cuts else [text]
+                begin = found.end() if found else end
+
+    def _learn(self, units: set[str]) -> None:
+        """Encode the units that are not stored yet; when the store is full it starts anew with these."""
+        new = [u for u in units if u not in self.known_a]
+        if len(self.known_a) + len(new) > STORED_UNITS:
+            self.known_a.clear()
+            self.known_b.clear()
+            new = list(units)
+        # Units that begin and end as at a cut are encoded many in a string, as they are in a text.
+        plain = [u for u in new if _WHOLE.fullmatch(u)]
+        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        groups += [[u] for u in new if not _WHOLE.fullmatch(u)]
+        while groups:
+            groups = [[u] for group in groups if not self._store(group) for u in group]
+
+    def _store(self, units: list[str]) -> bool:
+        """Store the ids of some units as bytes, or the fact that a tokenizer changes a lone one; False to try them one by one."""
+        text = " ".join(units)
+        whole = f" {text}".encode()
+        ids_a = self.a.encode(f" {text}", add_special_tokens=False).ids
+        ids_b = self.b.encode(text)
+        same = b"".join([self.bytes_a[x] for x in ids_a]) == whole == b"".join([self.bytes_b[x] for x in ids_b])
+        if not same and len(units) > 1:
+            return False
+        ends = np.cumsum([len(u.encode()) + 1 for u in units])
+        for ids, sizes, known in ((ids_a, self.size_a, self.known_a), (ids_b, self.size_b, self.known_b)):
+            if not same:
+                known[units[0]] = None
+                continue
+            ids = np.array(ids, "<i4")
+            raw = ids.tobytes()
+            cuts = [0, *(4 * (np.searchsorted(np.cumsum(sizes[ids]), ends) + 1)).tolist()]
+            known.update((u, raw[a:b]) for u, a, b in zip(units, cuts, cuts[1:]))
+        return True
+
+    def _aligned(self, batch: list[tuple[int, list[str]]]) -> Iterator[tuple]:
+        self._learn({u for _, units in batch for u in units})
+        for i, units in batch:
+            found = [self.known_a[u] for u in units]
+            if None in found:
+                yield i, None
+                continue
+            a = np.frombuffer(b"".join(found), "<i4").astype(np.int64)
+            b = np.frombuffer(b"".join([self.known_b[u] for u in units]), "<i4").astype(np.int64)
+            last = align(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist())
+            yield i, (a, b, np.array(last[0], np.int64), np.array(last[1], np.int64))
 
-    def encode(self, texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per UTF-8 text: ids of A and B, and the indexes of the last tokens of each group in both.
+    def segments(self, texts: list[bytes]) -> Iterator[tuple]:
+        """(text, (ids of A, ids of B, last tokens of each group in A, in B)) for each segment of UTF-8 texts, in order.
 
-        All empty for an empty text and where either tokenizer's bytes are not those of space + text.
+        None in place of the arrays says that a tokenizer's bytes are not those of space + text. A cut is an
+        end in both tokenizers, so no group reaches over it.
         """
-        parts = [self.segments(t.decode()) if t else [] for t in texts]
-        flat = [s for p in parts for s in p]
-        in_a = [e.ids for e in self.a.encode_batch([f" {s}" for s in flat], add_special_tokens=False)]
-        in_b = self.b.encode(flat, num_threads=1) if flat else []
-        at = 0
-        for text, part in zip(texts, parts):
-            ids_a = [x for ids in in_a[at : at + len(part)] for x in ids]
-            ids_b = [x for ids in in_b[at : at + len(part)] for x in ids]
-            at += len(part)
-            whole = b" " + text
-            if not part or any(b"".join([known[x] for x in ids]) != whole for known, ids in ((self.bytes_a, ids_a), (self.bytes_b, ids_b))):
-                none = np.zeros(0, np.int64)
-                yield none, none, none, none
-                continue
-            a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
-            found = align(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist())
-            yield a, b, np.array(found[0], np.int64), np.array(found[1], np.int64)
+        batch, size = [], 0
+        for i, chars, units in self._segments(texts):
+            batch.append((i, units))
+            size += chars
+            if size >= SLICE:
+                yield from self._aligned(batch)
+                batch, size = [], 0
+        yield from self._aligned(batch)
+
+    def encode(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """The four arrays of each whole text: all empty for an empty text and where bytes differ."""
+        parts: list[list | None] = [[] for _ in texts]
+        for i, found in self.segments(texts):
+            if found is None:
+                parts[i] = None
+            elif parts[i] is not None:
+                parts[i].append(found)
+        out = []
+        for own in parts:
+            own = own or [(np.zeros(0, np.int64),) * 4]
+            before = [np.cumsum([0, *(x[k].size for x in own[:-1])]) for k in (0, 1)]
+            out.append((*(np.concatenate([x[k] for x in own]) for k in (0, 1)), *(np.concatenate([x[k + 2] + n for x, n in zip(own, before[k])]) for k in (0, 1))))
+        return out
 
     def written(self, a: np.ndarray, b: np.ndarray, last_a: np.ndarray, last_b: np.ndarray) -> bytes:
         """Groups as ``a1,a2|b1;a3|b2,b3``."""
@@ -195,7 +268,7 @@ def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = tokenizer_pair(path_a, path_b)
         for ids, texts in rows_by_size(batches, SLICE):
-            found = list(pair.encode(texts))
+            found = pair.encode(texts)
             arrays = [pa.array([x[k].astype(np.int32) for x in found], pa.list_(pa.int32())) for k in range(4)]
             yield pa.record_batch([ids_to_arrow(ids), *arrays], ["doc_id", "ids_a", "ids_b", "last_a", "last_b"])
 
@@ -227,11 +300,22 @@ def _linked(docs: DataFrame, path_a: str, path_b: str, buckets: int) -> DataFram
             return pa.record_batch([pa.array([number] * len(keys)), pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], ["block", "bucket", "blob"])
 
         for ids, texts in rows_by_size(batches, SLICE):
-            for doc_id, (a, b, last_a, last_b) in zip(ids.tolist(), pair.encode(texts)):
-                digest = hashlib.sha256(pair.written(a, b, last_a, last_b)).digest()
-                held.append((doc_id, a.size, b.size, digest))
-                links.append((a[last_a].astype(np.uint64) << np.uint64(32)) | b[last_b].astype(np.uint64))
-                total += last_a.size + 1
+            counts = np.zeros((len(texts), 2), np.int64)
+            digests = [hashlib.sha256() for _ in texts]
+            own: list[list[np.ndarray] | None] = [[] for _ in texts]
+            for i, found in pair.segments(texts):
+                if found is None:
+                    own[i] = None
+                if own[i] is None:
+                    continue
+                a, b, last_a, last_b = found
+                digests[i].update((b";" if own[i] else b"") + pair.written(a, b, last_a, last_b))
+                own[i].append((a[last_a].astype(np.uint64) << np.uint64(32)) | b[last_b].astype(np.uint64))
+                counts[i] += a.size, b.size
+            for doc_id, count, digest, found in zip(ids.tolist(), counts.tolist(), digests, own):
+                held.append((doc_id, *(count if found else (0, 0)), digest.digest()))
+                links.append(np.concatenate(found or [np.zeros(0, np.uint64)]))
+                total += links[-1].size + 1
                 if total >= BLOCK_LINKS:
                     yield block()
                     number, total = number + 1, 0
@@ -284,7 +368,7 @@ def link_statistics(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
 
     Null and empty texts, and texts that a tokenizer changes, have zeros and an empty digest. Rows are documents
     of their own, whatever their doc_id; an empty table gives an empty result; other columns are not read. A
-    text is encoded in segments, so its tokens, not the tokenizer's own objects, are what a task holds of it.
+    text is aligned in segments, so of a long one a task holds the text and its links besides one segment.
     """
     spark = docs.sparkSession
     buckets = partitions(spark)
