@@ -36,12 +36,23 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ship_package(spark)
     columns = docs.columns
-    found = op5_suffix_dedup.remove_repeats(docs, keep=columns).where("n_removed = 0 OR n_removed < n_bytes")
-    text = F.try_validate_utf8(F.col("kept").cast("string"))
-    text = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\ufffd", ""))
-    new = F.when(F.col("n_removed") == 0, F.col("row.text")).otherwise(text)
-    made = {"text": new, "n_chars": F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length(new).cast("bigint"))}
-    return found.select(*[made.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
+    # The text comes back as the bytes that are left, so rows carry everything else beside it.
+    missing = _unused(columns, "no_text")
+    carried = docs.withColumn(missing, F.col("text").isNull())
+    found = op5_suffix_dedup.remove_repeats(carried, keep=[c for c in carried.columns if c != "text"]).where("n_removed = 0 OR n_removed < n_bytes")
+    whole = F.col("kept").cast("string")
+    text = F.coalesce(F.try_validate_utf8(whole), F.regexp_replace(F.make_valid_utf8(whole), "\ufffd", ""))
+    new = F.when(F.col("n_removed") > 0, text).when(~F.col(f"row.`{missing}`"), whole)
+    chars = F.when(F.col("n_removed") == 0, F.col("row.n_chars")).otherwise(F.length(new).cast("bigint")) if "n_chars" in columns else None
+    made = {"text": new, "n_chars": chars}
+    return found.select(*[made[c].alias(c) if c in made else F.col(f"row.`{c}`").alias(c) for c in columns])
+
+
+def _unused(columns: list[str], name: str) -> str:
+    """A column name like ``name`` that is not among ``columns``."""
+    while name.lower() in [c.lower() for c in columns]:
+        name += "_"
+    return name
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
