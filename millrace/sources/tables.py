@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace import schemas
-from millrace.operators.rates import daily_rates, drop_last_day, parse_rates, rows_of_new_days
+from millrace.operators.rates import daily_rates, parse_rates, rows_of_new_days
 from millrace.operators.warehouse import TableSpec, new_rows
-from millrace.plans.scratch import stored
+from millrace.sources import commits
 
 
 def create_table(
@@ -102,56 +104,84 @@ def table_sizes(spark: SparkSession, database: str, names: Sequence[str]) -> Dat
     return total
 
 
-# The daily table has one folder per month: few enough to list quickly after decades, and the
+# The daily table has one folder per month: few enough to list in a commit after decades, and the
 # newest one is small enough to write anew at every refresh.
-def _month() -> Column:
-    return F.date_format("date", "yyyyMM").cast("int").alias("month")
+UNDATED = "undated"
+KEPT_VERSIONS = 3  # readers may go on with the two states before the newest
+
+
+def _month(day: datetime.date | None) -> str:
+    return UNDATED if day is None else f"{day:%Y%m}"
+
+
+def _folders(state: dict) -> list[str]:
+    return [month["folder"] for month in state.get("months", {}).values()]
 
 
 def create_daily_rates(spark: SparkSession, path: str) -> None:
     """An empty daily rate table, unless something is stored there."""
-    empty = spark.createDataFrame([], schemas.DAILY_RATE).withColumn("month", _month())
-    empty.write.mode("ignore").partitionBy("month").parquet(path)
+    if not commits.names(spark, path):
+        commits.publish_version(spark, path, 1, {"months": {}})
 
 
-def _stored_rates(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(f"{schemas.DAILY_RATE}, month int").parquet(path)
+def _read_folders(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    if not folders:
+        return spark.createDataFrame([], schemas.DAILY_RATE)
+    return spark.read.schema(schemas.DAILY_RATE).parquet(*[f"{path}/{folder}" for folder in folders])
 
 
 def read_daily_rates(spark: SparkSession, path: str) -> DataFrame:
-    return _stored_rates(spark, path).drop("month")
+    """The table as its newest commit describes it; later refreshes do not change what this frame reads."""
+    return _read_folders(spark, path, _folders(commits.newest(spark, path).content))
 
 
-def refresh_daily(raw: DataFrame, path: str) -> None:
+def refresh_daily(raw: DataFrame, path: str, attempts: int = 5) -> None:
     """Compute the newest stored day again, add missing days, leave all other days untouched.
 
-    ``raw`` holds text rates or typed ones (with ``symbol``). It is read once; only months that receive a day are read
-    from the stored table in full, of the others just the date.
-
-    Only months that receive a day are written: their other days are carried over as stored. The
-    result is staged beside the table and moved into place when the job commits. A newest day
-    for which no raw rates remain stays as it is. Undated rates are aggregated anew each time.
+    ``raw`` holds text rates or typed ones (with ``symbol``). It is read and aggregated once; of the stored table only
+    months that receive a day are read. A newest day for which no raw rates remain stays as it is. Undated rates are
+    aggregated anew each time. If nothing arrives, nothing is written.
 
-    The commit replaces month after month, so it is not one transaction. Repeating a failed refresh
-    completes it as long as the raw rates still hold the affected month.
+    Months that receive a day are written to a new folder, together with their other days as stored, and one commit
+    names all months' folders. So readers see the whole refresh or nothing of it, a refresh that fails changes
+    nothing, and one that finds another's commit in its place starts again from that, ``attempts`` times at most.
 
-    The lists of days and months are broadcast; the date type bounds them, whatever is stored.
-    Rebalancing by month gives few files per month, while AQE splits a month that is much larger
-    than the others.
+    The commit lists days and months, the date type bounds them, whatever is stored. Rebalancing by month gives few
+    files per month, while AQE splits a month that is much larger than the others.
     """
     spark = raw.sparkSession
-    table = _stored_rates(spark, path)
+    for _ in range(attempts):
+        if _refreshed(spark, raw, path):
+            commits.forget_versions(spark, path, KEPT_VERSIONS, _folders)
+            return
+    raise commits.CommitConflict(f"{path}: {attempts} refreshes by others came first")
+
+
+def _refreshed(spark: SparkSession, raw: DataFrame, path: str) -> bool:
+    """One attempt; False if another commit came first."""
+    version = commits.newest(spark, path)
+    months = dict(version.content.get("months", {}))
+    held = sorted(datetime.date.fromisoformat(day) for month in months.values() for day in month["days"])
+    settled = spark.createDataFrame([(day,) for day in held[:-1]], "date date")
     typed = raw if "symbol" in raw.columns else parse_rates(raw)
-    arriving = stored(daily_rates(rows_of_new_days(typed, drop_last_day(table))).withColumn("month", _month()), "arriving")
-    days = arriving.select("date").distinct()
-    # A list of months, which the date type bounds, reaches the scan as a partition filter.
-    months = [row.month for row in arriving.where("month IS NOT NULL").select("month").distinct().collect()]
-    carried = table.where(F.col("month").isin(months) & F.col("date").isNotNull()).join(F.broadcast(days), "date", "left_anti")
-    (
-        carried.unionByName(arriving)
-        .hint("rebalance", "month")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("month")
-        .parquet(path)
-    )
+    arriving = daily_rates(rows_of_new_days(typed, settled)).persist(StorageLevel.DISK_ONLY)
+    try:
+        found = [row.date for row in arriving.select("date").distinct().collect()]
+        if not found:
+            return True
+        touched = sorted({_month(day) for day in found})
+        before = _read_folders(spark, path, [months[m]["folder"] for m in touched if m in months and m != UNDATED])
+        days = spark.createDataFrame([(day,) for day in found], "date date")
+        rows = before.join(F.broadcast(days), "date", "left_anti").select(*arriving.columns).unionByName(arriving)
+        folder = commits.new_folder(path)
+        month = F.coalesce(F.date_format("date", "yyyyMM"), F.lit(UNDATED)).alias("month")
+        rows.select("*", month).hint("rebalance", "month").write.partitionBy("month").parquet(f"{path}/{folder}")
+    finally:
+        arriving.unpersist()
+    for name in touched:
+        days_of = {day.isoformat() for day in found if day and _month(day) == name} | set(months.get(name, {}).get("days", []))
+        months[name] = {"folder": f"{folder}/month={name}", "days": sorted(days_of)}
+    if commits.publish_version(spark, path, version.number + 1, {"months": months}):
+        return True
+    commits.discard(spark, path, folder)
+    return False

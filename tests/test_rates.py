@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from millrace import schemas
 from millrace.operators import rates
-from millrace.sources import readers, tables
+from millrace.sources import commits, readers, tables
 
 D1, D2, D3 = (dt.date(2024, 1, day) for day in (30, 31, 1))
 
@@ -138,8 +138,73 @@ def test_refresh_touches_only_months_with_changes(spark, frame, tmp_path):
     tables.create_daily_rates(spark, str(path))
     some = raw(frame, ("S", "1", "B", "2023-05-30"), ("S", "2", "B", "2024-01-31"))
     tables.refresh_daily(some, str(path))
-    old = {p.name for p in (path / "month=202305").glob("*.parquet")}
+    held = {p.name for p in path.glob("data/*/month=202305/*.parquet")}
     tables.refresh_daily(some, str(path))
-    assert {p.name for p in (path / "month=202305").glob("*.parquet")} == old
+    assert held and {p.name for p in path.glob("data/*/month=202305/*.parquet")} == held
+    assert len(list(path.glob("data/*/month=202401"))) == 2
     read = tables.read_daily_rates(spark, str(path)).where(F.col("date") == D2)
     assert read.count() == 1
+
+
+def test_readers_see_a_refresh_whole_or_not_at_all(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "daily")
+    tables.create_daily_rates(spark, path)
+    first = raw(frame, ("S", "1", "B", "2024-01-30"), ("S", "2", "B", "2024-02-01"))
+    more = first.union(raw(frame, ("S", "4", "B", "2024-02-01"), ("S", "7", "B", "2024-03-05")))
+    tables.refresh_daily(first, path)
+    old = {("B", "S", 1.0, 1.0, 1.0, D1), ("B", "S", 2.0, 2.0, 2.0, dt.date(2024, 2, 1))}
+    new = {("B", "S", 1.0, 1.0, 1.0, D1), ("B", "S", 2.0, 3.0, 4.0, dt.date(2024, 2, 1)), ("B", "S", 7.0, 7.0, 7.0, dt.date(2024, 3, 5))}
+    opened = tables.read_daily_rates(spark, path)
+    publish = commits.publish_version
+    seen = []
+
+    def failing(*args):
+        seen.append(stored(spark, path))  # all rows are written, nothing is published
+        raise OSError("lost")
+
+    monkeypatch.setattr(commits, "publish_version", failing)
+    with pytest.raises(OSError, match="lost"):
+        tables.refresh_daily(more, path)
+    assert seen == [old] and stored(spark, path) == old
+    monkeypatch.setattr(commits, "publish_version", publish)
+    tables.refresh_daily(more, path)
+    assert stored(spark, path) == new
+    assert {tuple(r) for r in opened.drop("timestamp").collect()} == old
+
+
+def test_refresh_starts_again_behind_another_one(spark, frame, tmp_path, monkeypatch):
+    path = str(tmp_path / "daily")
+    tables.create_daily_rates(spark, path)
+    ours, theirs = raw(frame, ("S", "1", "B", "2024-01-30")), raw(frame, ("S", "3", "B", "2023-05-05"))
+    publish, turns = commits.publish_version, []
+
+    def late(*args):
+        if not turns:  # another refresh is published between our write and our commit
+            turns.append(1)
+            tables.refresh_daily(theirs, path)
+        return publish(*args)
+
+    monkeypatch.setattr(commits, "publish_version", late)
+    tables.refresh_daily(ours, path)
+    # The other one stored an older day only, so both days are in the table.
+    assert {r[5] for r in stored(spark, path)} == {D1, dt.date(2023, 5, 5)}
+    named = {f for f in tables._folders(commits.newest(spark, path).content)}
+    assert {f"data/{p.parent.name}/{p.name}" for p in (tmp_path / "daily").glob("data/*/month=*")} == named
+    monkeypatch.setattr(commits, "publish_version", lambda *args: False)
+    with pytest.raises(commits.CommitConflict):
+        tables.refresh_daily(ours, path, attempts=2)
+
+
+def test_refresh_writes_nothing_when_nothing_arrives_and_forgets_old_versions(spark, frame, tmp_path):
+    path = str(tmp_path / "daily")
+    tables.create_daily_rates(spark, path)
+    some = raw(frame, ("S", "1", "B", "2024-01-30"), ("S", "2", "B", "2024-01-31"))
+    tables.refresh_daily(some, path)
+    state = commits.names(spark, path)
+    tables.refresh_daily(some.where("date < '2024-01-31'"), path)
+    assert commits.names(spark, path) == state
+    for _ in range(5):
+        tables.refresh_daily(some, path)
+    assert len(commits.names(spark, path)) == tables.KEPT_VERSIONS
+    assert len(list((tmp_path / "daily").glob("data/*/month=202401"))) == tables.KEPT_VERSIONS
+    assert len(stored(spark, path)) == 2
