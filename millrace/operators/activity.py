@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,8 +21,8 @@ def flatten_events(archive: DataFrame) -> DataFrame:
     )
 
 
-def typed_events(archive: DataFrame) -> DataFrame:
-    """Nested events to nine typed columns; text that does not parse becomes null."""
+def typed_events(archive: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Nested events to nine typed columns and those to ``keep``; text that does not parse becomes null."""
     path = F.col("repo.name")
     return archive.select(
         F.col("type").alias("event_type"),
@@ -32,6 +34,7 @@ def typed_events(archive: DataFrame) -> DataFrame:
         F.col("actor.id").try_cast("bigint").alias("actor_id"),
         F.col("repo.id").try_cast("bigint").alias("repo_id"),
         F.col("id").try_cast("bigint").alias("event_id"),
+        *keep,
     )
 
 

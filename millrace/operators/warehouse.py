@@ -132,8 +132,8 @@ def new_rows(source: DataFrame, stored: DataFrame, spec: TableSpec, time: str =
     return sat_new_values(source, stored, *spec.keys, time=time)
 
 
-def dim_new_values(source: DataFrame, dim: DataFrame, value: str, id: str) -> DataFrame:
-    """Values not in the dimension, numbered on from its highest id in value order.
+def dim_new_values(source: DataFrame, dim: DataFrame, value: str, id: str, highest: int | None = None) -> DataFrame:
+    """Values not in the dimension, numbered on from its highest id (``highest``, if known) in value order.
 
     Numbering is distributed: values are range-sorted, each partition counts its rows, and a
     row's number is its place in the partition plus the rows of all earlier partitions. Places
@@ -154,8 +154,11 @@ def dim_new_values(source: DataFrame, dim: DataFrame, value: str, id: str) -> Da
         .agg(F.count("*").alias("_rows"))
         .select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
     )
-    highest = dim.agg(F.coalesce(F.max(id), F.lit(0))).scalar()
-    number = highest + F.col("_before") + F.col("_row") + 1
+    if highest is None:
+        last = dim.agg(F.coalesce(F.max(id), F.lit(0))).scalar()
+    else:
+        last = F.lit(highest).cast("bigint")
+    number = last + F.col("_before") + F.col("_row") + 1
     return placed.join(F.broadcast(offsets), "_part").select(
         number.cast("bigint").alias(id), value
     )

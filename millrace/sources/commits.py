@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from typing import Any
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 COMMITS = "_commits"  # Spark's readers pass over folders that begin with an underscore
 DATA = "data"
@@ -41,9 +41,10 @@ def _files(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def new_folder(path: str) -> str:
-    """A folder name for one writer's rows, relative to the table."""
-    return f"{DATA}/{uuid.uuid4().hex}"
+def new_folder(label: str | None = None) -> str:
+    """A folder name for one writer's rows, relative to the table; with a label in the form of a partition."""
+    name = uuid.uuid4().hex
+    return f"{DATA}/{label}={name}" if label else f"{DATA}/{name}"
 
 
 def publish(spark: SparkSession, path: str, name: str, content: dict[str, Any]) -> bool:
@@ -78,8 +79,19 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(name for name in found if not name.startswith("."))
 
 
+def contents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """What all published commits say, one row for each."""
+    if not names(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).json(f"{path}/{COMMITS}")
+
+
 def content(spark: SparkSession, path: str, name: str) -> dict[str, Any]:
-    stream = _files(spark, path).open(_path(spark, f"{path}/{COMMITS}/{name}"))
+    return read_json(spark, f"{path}/{COMMITS}/{name}")
+
+
+def read_json(spark: SparkSession, file: str) -> dict[str, Any]:
+    stream = _files(spark, file).open(_path(spark, file))
     try:
         return json.loads(spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
     finally:

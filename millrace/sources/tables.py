@@ -173,7 +173,7 @@ def _refreshed(spark: SparkSession, raw: DataFrame, path: str) -> bool:
         before = _read_folders(spark, path, [months[m]["folder"] for m in touched if m in months and m != UNDATED])
         days = spark.createDataFrame([(day,) for day in found], "date date")
         rows = before.join(F.broadcast(days), "date", "left_anti").select(*arriving.columns).unionByName(arriving)
-        folder = commits.new_folder(path)
+        folder = commits.new_folder()
         month = F.coalesce(F.date_format("date", "yyyyMM"), F.lit(UNDATED)).alias("month")
         rows.select("*", month).hint("rebalance", "month").write.partitionBy("month").parquet(f"{path}/{folder}")
     finally:
