@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
 from pyspark.sql import functions as F
@@ -29,18 +31,26 @@ def read_documents(spark: SparkSession, paths: str | Sequence[str], multi_line:
     return spark.read.schema(schemas.LATEST_RATE).option("multiLine", multi_line).json(paths)
 
 
-def _headers(spark: SparkSession, paths: str | Sequence[str]) -> list[Row]:
-    """(header, files) of CSV files: the first line that is not blank, with the files that start with it.
+HEADER_JOBS = 16  # files whose headers are read at the same time
 
-    Only the first block of each file is looked at; what reaches the driver is a list of files, as Spark keeps one anyway.
+
+def _headers(spark: SparkSession, paths: str | Sequence[str]) -> dict[str, list[str]]:
+    """Files by header: the first line that is not blank. A file without such a line has none.
+
+    One small job a file, which ends with the first line it finds: it reads the begin of the file's first split, however
+    long the file is. The jobs run side by side on the executors; the driver holds the list of files, as Spark's reader does.
     """
-    lines = spark.read.text(paths).where(F.trim("value") != "")
-    starts = lines.where(F.col("_metadata.file_block_start") == 0)
-    # File names come encoded; a plus sign is one.
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    first = starts.select(path.alias("file"), "value", F.monotonically_increasing_id().alias("place"))
-    header = first.groupBy("file").agg(F.min_by("value", "place").alias("header"))
-    return header.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header").collect()
+    files = sorted(unquote(file) for file in spark.read.text(paths).inputFiles())
+
+    def first(file: str) -> Row | None:
+        return spark.read.text(file).where(F.trim("value") != "").head()
+
+    with ThreadPoolExecutor(HEADER_JOBS) as pool:
+        found: dict[str, list[str]] = {}
+        for file, row in zip(files, pool.map(first, files)):
+            if row is not None:
+                found.setdefault(row.value, []).append(file)
+    return found
 
 
 def read_csv(
@@ -50,14 +60,14 @@ def read_csv(
 
     Columns go by name. Files may differ in their columns and in their order: a column that a file lacks is null in
     its rows. With a schema, exactly its columns are returned and text that does not fit a type becomes null.
-    A header must not contain line breaks. One Spark job takes the headers; files with one header are read together.
+    A header must not contain line breaks. Headers are read first, a few kilobytes of each file; files with one header are read together.
     """
     reader = spark.read.option("header", True)
     headers = _headers(spark, paths)
     if len(headers) > 1:
-        rows = reader.csv(headers[0].files)
-        for other in headers[1:]:
-            rows = rows.unionByName(reader.csv(other.files), allowMissingColumns=True)
+        rows, *others = [reader.csv(headers[header]) for header in sorted(headers)]
+        for other in others:
+            rows = rows.unionByName(other, allowMissingColumns=True)
     elif headers or schema is None:
         rows = reader.csv(paths)
     else:

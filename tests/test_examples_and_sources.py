@@ -165,3 +165,24 @@ def test_csv_schema_in_another_order_than_the_header(spark, tmp_path):
     path = _csv(tmp_path / "one", "date,code,rate,base\n2020-01-02,USD,x,EUR\n")
     found = readers.read_csv(spark, path, "code string, rate double, base string, date string").first()
     assert tuple(found) == ("USD", None, "EUR", "2020-01-02")
+
+
+def test_headers_cost_no_more_for_longer_files(spark, tmp_path):
+    def read_bytes():
+        statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getAllStatistics()
+        return sum(s.getBytesRead() for s in statistics if s.getScheme() == "file")
+
+    cost = {}
+    for name, lines in (("short", 20_000), ("long", 2_000_000)):
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a b+c%41.csv").write_text("\n  \nx,y\n" + "1,some text of the row\n" * lines)
+        (folder / "other.csv").write_text("y,z\n1,2\n")
+        (folder / "blank.csv").write_text(" \n")
+        before = read_bytes()
+        found = readers.read_csv(spark, str(folder))
+        cost[name] = read_bytes() - before
+        assert found.columns == ["x", "y", "z"]
+    assert (tmp_path / "long" / "a b+c%41.csv").stat().st_size > 40_000_000
+    assert cost["long"] < cost["short"] + 1_000_000 < 3_000_000
+    assert found.where("z IS NULL").count() == 2_000_000 and found.where("z = 2").first().y == "1"
