@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime
+import re
+import uuid
+from collections import Counter
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -13,9 +16,15 @@ from pyspark.sql import functions as F
 from millrace import schemas
 from millrace.operators.rates import daily_rates, parse_rates, rows_of_new_days
 from millrace.operators.warehouse import TableSpec, new_rows
+from millrace.plans.scratch import remove_dir
 from millrace.sources import commits
 
 
+MOST_FILES = 16  # of a bucket, before a load packs its table
+BUCKET_BYTES = 256 << 20  # stored bytes beyond which packing gives a table more buckets
+REPLACED = "replaced.location"  # table property: the state before the last packing
+
+
 def create_table(
     spark: SparkSession,
     name: str,
@@ -36,7 +45,11 @@ def drop_table(spark: SparkSession, name: str) -> None:
 
 def truncate_table(spark: SparkSession, name: str) -> None:
     """Empty a table, keeping its definition; used before a full reload."""
-    spark.sql(f"TRUNCATE TABLE {name}")
+    if _described(spark, name, "Type") == "EXTERNAL":  # such as a table with a new number of buckets
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_beside(_location(spark, name))}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"TRUNCATE TABLE {name}")
 
 
 def create_warehouse(
@@ -58,10 +71,74 @@ def drop_warehouse(spark: SparkSession, database: str, specs: Sequence[TableSpec
         drop_table(spark, f"{database}.{spec.name}")
 
 
+def _described(spark: SparkSession, table: str, what: str) -> str | None:
+    found = spark.sql(f"DESCRIBE EXTENDED {table}").where(F.col("col_name") == what).first()
+    return found["data_type"] if found else None
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    return _described(spark, table, "Location")
+
+
+def _beside(location: str) -> str:
+    """A new folder for another state of the table that lies at ``location``."""
+    return f"{location.rstrip('/').rpartition('/')[0]}/state-{uuid.uuid4().hex}"
+
+
 def bucket_count(spark: SparkSession, table: str) -> int | None:
-    described = spark.sql(f"DESCRIBE EXTENDED {table}").where(F.col("col_name") == "Num Buckets")
-    found = described.first()
-    return int(found["data_type"]) if found else None
+    found = _described(spark, table, "Num Buckets")
+    return int(found) if found else None
+
+
+def files_per_bucket(spark: SparkSession, table: str) -> dict[int, int]:
+    """How many files each bucket of a table has; Spark keeps a bucket's number in its files' names."""
+    found = (re.search(r"_(\d{5})(?:\.c\d+)?\.", file) for file in spark.table(table).inputFiles())
+    return Counter(int(match[1]) for match in found if match)
+
+
+def fitting_buckets(spark: SparkSession, stored_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
+    """The shuffle partitions, doubled until a bucket of so many stored bytes has at most ``bucket_bytes``.
+
+    With no fewer buckets than shuffle partitions the stored side of a join is read in place.
+    """
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    while buckets * bucket_bytes < stored_bytes:
+        buckets *= 2
+    return buckets
+
+
+def stored_bytes(spark: SparkSession, table: str) -> int:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(_location(spark, table))
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def pack_table(spark: SparkSession, table: str, spec: TableSpec, bucket_bytes: int = BUCKET_BYTES) -> None:
+    """Write every bucket of a table as one file, and give the table more buckets if theirs have grown too large.
+
+    The packed state is written beside the old one. With the same number of buckets the table's location is then
+    changed, which is one step in the catalog: readers that hold the old state go on with its files, which stay until the
+    next packing. A new number of buckets needs a new definition, during whose exchange the name is missing for a moment.
+    Nobody else may write to the table meanwhile.
+    """
+    held, location = bucket_count(spark, table), _location(spark, table)
+    buckets = max(held, fitting_buckets(spark, stored_bytes(spark, table), bucket_bytes))
+    target, draft = _beside(location), f"{table}_packed_{uuid.uuid4().hex}"
+    # Read as plain files: over a bucketed scan Spark leaves the exchange out, and then reads without buckets.
+    files = spark.read.schema(spark.table(table).schema).parquet(location)
+    rows = files.select(*spec.columns).repartition(buckets, *spec.keys)
+    rows.write.bucketBy(buckets, *spec.keys).option("path", target).saveAsTable(draft)
+    replaced = spark.sql(f"SHOW TBLPROPERTIES {table}").where(F.col("key") == REPLACED).first()
+    if buckets == held:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{target}'")
+        drop_table(spark, draft)  # it is external, so the files stay
+    else:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{_beside(location)}'")
+        drop_table(spark, table)
+        spark.sql(f"ALTER TABLE {draft} RENAME TO {table}")
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{REPLACED}' = '{location}')")
+    spark.catalog.refreshTable(table)
+    if replaced:
+        remove_dir(spark, replaced["value"])
 
 
 def append_to_table(rows: DataFrame, table: str, spec: TableSpec) -> None:
@@ -73,10 +150,13 @@ def append_to_table(rows: DataFrame, table: str, spec: TableSpec) -> None:
 
 
 def load_warehouse(
-    source: DataFrame, database: str, specs: Sequence[TableSpec], time: str = "created_at"
+    source: DataFrame, database: str, specs: Sequence[TableSpec], time: str = "created_at", most_files: int = MOST_FILES
 ) -> None:
     """Append what each table lacks. Safe to repeat after any failure: stored rows are not added again.
 
+    A load adds a file to each bucket it has rows for. A table in which a bucket has come to more than ``most_files`` is
+    packed: fewer files cost a rewrite more often.
+
     Each table reads only its columns of the source, so the source should be a columnar table. The
     loads are independent and submitted together, so that small ones do not leave the cluster idle.
     """
@@ -85,6 +165,8 @@ def load_warehouse(
     def load(spec: TableSpec) -> None:
         table = f"{database}.{spec.name}"
         append_to_table(new_rows(source, spark.table(table), spec, time), table, spec)
+        if max(files_per_bucket(spark, table).values(), default=0) > most_files:
+            pack_table(spark, table, spec)
 
     with ThreadPoolExecutor(max_workers=8) as pool:
         list(pool.map(load, specs))

@@ -1,5 +1,6 @@
 import datetime as dt
 import uuid
+from pathlib import Path
 
 import pytest
 
@@ -150,3 +151,55 @@ def test_stored_side_of_a_load_is_not_shuffled(spark, frame, database):
     join = plan.index("LeftAnti")
     stored = plan[plan.index("+- Sort", join) :]
     assert "Bucketed: true" in plan and "Exchange" not in stored.split("Bucketed: true")[0].splitlines()[-3]
+
+
+def test_ten_loads_leave_few_files_and_no_shuffle(spark, frame, rows, database):
+    spec = next(s for s in SPECS if s.name == "sat_actor_name")
+    table = f"{database}.{spec.name}"
+    tables.create_warehouse(spark, database, [spec], buckets=16)
+    expected = set()
+    for load in range(10):
+        source = typed(frame, *[(i, "Push", i, f"n{load}", 20, "r", T1) for i in range(load, load + 40)])
+        expected |= {(i, f"n{load}") for i in range(load, load + 40)}
+        held = spark.table(table).inputFiles()
+        tables.load_warehouse(source, database, [spec], most_files=2)
+        assert max(tables.files_per_bucket(spark, table).values()) <= 2
+        assert all(Path(file.removeprefix("file:")).exists() for file in held)  # for readers that go on
+    assert {tuple(r)[:2] for r in spark.table(table).collect()} == expected and spark.table(table).count() == 400
+    tables.load_warehouse(source, database, [spec])
+    assert spark.table(table).count() == 400
+    assert_stored_side_in_place(spark, wh.new_rows(source, spark.table(table), spec))
+
+
+def assert_stored_side_in_place(spark, delta):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = delta._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    stored = plan[plan.index("+- Sort", plan.index("LeftAnti")) :]
+    assert "Bucketed: true" in plan and "Exchange" not in stored.split("Bucketed: true")[0].splitlines()[-3]
+
+
+def test_packing_gives_a_grown_table_more_buckets(spark, frame, rows, database):
+    spec = next(s for s in SPECS if s.name == "link_event_actor")
+    table = f"{database}.{spec.name}"
+    tables.create_warehouse(spark, database, [spec], buckets=8)
+    source = typed(frame, *[(i, "Push", i % 7, "ann", 20, "r", T1) for i in range(500)])
+    tables.load_warehouse(source, database, [spec])
+    stored = rows(spark.table(table))
+    tables.pack_table(spark, table, spec, bucket_bytes=tables.stored_bytes(spark, table) // 20)
+    assert tables.bucket_count(spark, table) == 32 and rows(spark.table(table)) == stored
+    assert tables.fitting_buckets(spark, 0) == 8
+    assert_stored_side_in_place(spark, wh.new_rows(source, spark.table(table), spec))
+    tables.load_warehouse(typed(frame, (900, "Push", 3, "ann", 20, "r", T1)), database, [spec])
+    assert spark.table(table).count() == 501
+    for _ in range(2):
+        tables.pack_table(spark, table, spec)
+    assert spark.table(table).count() == 501 and set(tables.files_per_bucket(spark, table).values()) == {1}
+    tables.truncate_table(spark, table)
+    assert spark.table(table).count() == 0
+    tables.load_warehouse(source, database, [spec])
+    assert rows(spark.table(table)) == stored
+    assert spark.sql(f"SHOW TABLES IN {database}").where("NOT isTemporary").count() == 1
