@@ -40,7 +40,15 @@ def stored(rows: DataFrame, label: str) -> DataFrame:
     """
     path = new_dir(rows.sparkSession, label)
     rows.write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def freed(*frames: DataFrame) -> None:
+    """Remove the files of frames that ``stored`` gave, once everything that reads them has been computed and stored."""
+    for frame in frames:
+        remove_dir(frame.sparkSession, frame.stored_at)
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:

@@ -149,3 +149,14 @@ def test_scratch_takes_the_context_folder_then_the_setting_else_stops():
     assert scratch.shared_dir(_Session(None, "/setting")) == "/setting"
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.shared_dir(_Session(None, None))
+
+
+def test_stored_frames_are_freed(spark, frame):
+    from pathlib import Path
+
+    from millrace.plans.scratch import freed, stored
+
+    one, two = (stored(frame([(i,)], "x int"), "kept") for i in (1, 2))
+    assert one.union(two).count() == 2
+    freed(one, two)
+    assert not any(Path(f.stored_at.removeprefix("file:")).exists() for f in (one, two))
