@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.scratch import stored
+from millrace.plans.scratch import freed, stored
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -31,12 +31,13 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of ``edges`` (u, v: bigint); root is the least node it is connected with.
 
     Loops, repeated edges and nulls are ignored. Every round is written to the shared folder, so lineage
-    stays short. Rounds grow with the logarithm of a component's diameter, not with its size.
+    stays short, and the round before is removed. Rounds grow with the logarithm of a component's diameter, not with its size.
     """
     pairs = stored(edges.select("u", "v").where("u <> v").distinct(), "edges")
     state = None
     while True:
-        pairs = stored(_star(_star(pairs, True), False), "edges")
+        before, pairs = pairs, stored(_star(_star(pairs, True), False), "edges")
+        freed(before)
         now = pairs.agg(F.count("*"), F.sum(F.hash("u", "v").cast("bigint")), F.bit_xor(F.xxhash64("u", "v"))).first()
         if now == state:
             break

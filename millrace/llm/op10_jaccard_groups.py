@@ -32,7 +32,7 @@ from millrace.llm.columns import id_and_text, ids_to_arrow, mix, pack, partition
 from millrace.llm.components import components
 from millrace.llm.repeats import slices
 from millrace.llm.words import ngram_hashes, words_of
-from millrace.plans.scratch import stored
+from millrace.plans.scratch import freed, stored
 
 WORDS = 4
 PERCENT = 85
@@ -264,7 +264,10 @@ def _verified(pairs: DataFrame, blocks: DataFrame, where: DataFrame, n: int, per
     left = sets.select(F.col("sig").alias("u"), F.col("items").alias("a"))
     right = sets.select(F.col("sig").alias("v"), F.col("items").alias("b"))
     both = F.size(F.array_intersect("a", "b")).cast("bigint")
-    return pairs.join(left, "u").join(right, "v").where(both * (100 + percent) >= (F.size("a") + F.size("b")) * percent).select("u", "v")
+    alike = both * (100 + percent) >= (F.size("a") + F.size("b")) * percent
+    found = stored(pairs.join(left, "u").join(right, "v").where(alike).select("u", "v"), "links")
+    freed(pairs, sets)
+    return found
 
 
 def _alike(a: str, b: str, n: str, other_n: str, percent: int) -> str:
@@ -386,12 +389,13 @@ def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
         close = f"100 * least(m, other_m) >= {percent} * greatest(m, other_m)"
         return pairs.join(left, "u").join(right, "v").where(f"{close} AND {_alike('a', 'b', 'm', 'other_m', percent)}").select("u", "v")
 
-    first = stored(_verified(admitted(pairs), blocks, where, n, percent), "links")
+    first = _verified(admitted(pairs), blocks, where, n, percent)
 
     sized = lists.select("token", "grp", "n", "place")
     whole = involved.join(inside, "grp", "left_semi").join(where.select("sig", "n"), "sig").selectExpr("grp AS token", "sig", "n", "0L AS place")
     entries = sized.join(involved, "grp").select("token", "sig", "n", "place").unionByName(whole)
     entries = stored(entries, "entries")
+    freed(links, lists)  # all that reads them is stored
 
     def apart(found: DataFrame) -> DataFrame:
         """Entries of lists that hold sets of several components, with their components."""
@@ -405,16 +409,20 @@ def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
     links = first
     for turn in range(NEIGHBOUR_TURNS):
         lag = [f"lag({c}) OVER (PARTITION BY token ORDER BY xxhash64(sig, {turn}), sig) AS other_{c}" for c in ("sig", "n", "place", "root")]
-        near = apart(links).selectExpr("*", *lag).where("root <> other_root AND " + possible)
+        mixed = apart(links)
+        near = mixed.selectExpr("*", *lag).where("root <> other_root AND " + possible)
         near = near.select(F.least("sig", "other_sig").alias("u"), F.greatest("sig", "other_sig").alias("v")).distinct()
-        near = admitted(near)
-        links = stored(links.unionByName(_verified(near, blocks, where, n, percent)), "links")
+        more = _verified(admitted(near), blocks, where, n, percent)
+        freed(mixed)
+        links = links.unionByName(more)
 
     # Then: all candidates in different components.
-    left = apart(links).join(sketches.select("sig", "carried"), "sig")
+    mixed = apart(links)
+    left = mixed.join(sketches.select("sig", "carried"), "sig")
     other = left.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place", "carried AS other_carried")
     pairs = left.join(other, "token").where("root < other_root AND " + possible + " AND " + alike)
     last = _verified(admitted(pairs.select(F.col("sig").alias("u"), "v").distinct()), blocks, where, n, percent)
+    freed(mixed, entries, sketches)
     final = components(links.unionByName(last))
 
     return rows.join(final, F.col("sig") == F.col("node"), "left").select("block", "doc", "doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
