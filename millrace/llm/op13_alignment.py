@@ -38,12 +38,13 @@ TOKENIZER_B = "piece_bpe_32k.model"
 SLICE = 1 << 20  # bytes of text whose units are looked up together
 SEGMENT = 1 << 16  # characters of a text aligned together, if it has a place to cut
 JOINED = 500  # units encoded as one string
-STORED_UNITS = 500_000  # units kept with their ids per worker process
+STORED_UNITS = 1_000_000  # units kept with their ids per worker process
 BLOCK_LINKS = 1 << 22  # links whose id pairs are combined before they are sent
 
 # A single space between two characters that are not white space begins a new unit for both kinds of tokenizers:
 # what lies before it is encoded as if nothing followed. Limited to characters about which all libraries agree.
 _CUT = re.compile("(?<=[!-~À-ɏ]) (?=[!-~À-ɏ])")
+_LATIN = re.compile("[\x00-ɏ]*")
 _WHOLE = re.compile("[!-~À-ɏ](?:.*[!-~À-ɏ])?", re.DOTALL)
 
 
@@ -54,6 +55,7 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
     """Indexes of the last token of each group, in A and in B; both lists ascend strictly."""
     last_a: list[int] = []
     last_b: list[int] = []
+    add_a, add_b = last_a.append, last_b.append
     i = j = 0
     n, m = len(ends_a), len(ends_b)
     while i < n and j < m:
@@ -70,8 +72,8 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
                     if j == m:
                         return last_a, last_b
                     b = ends_b[j]
-            last_a.append(i)
-            last_b.append(j)
+            add_a(i)
+            add_b(j)
             i += 1
             j += 1
             continue
@@ -79,8 +81,8 @@ def align(ends_a: list[int], ends_b: list[int]) -> tuple[list[int], list[int]]:
         while run < limit and run < NEAR and ends_a[i + run] == ends_b[j + run]:
             run += 1
         if run == 1:
-            last_a.append(i)
-            last_b.append(j)
+            add_a(i)
+            add_b(j)
             i += 1
             j += 1
             continue
@@ -144,11 +146,33 @@ class Pair:
         rules = json.loads(self.a.to_str())
         first = rules["pre_tokenizer"] or {}
         self.cuts = not joining and rules["normalizer"] is None and first.get("type") == "ByteLevel" and first["use_regex"] and not first["add_prefix_space"]
+        self.quick = self._quick(rules["model"]) if self.cuts else None
         self.known_a: dict[str, bytes | None] = {}
         self.known_b: dict[str, bytes | None] = {}
         # Ids as written in a group: followed by "," or by what closes their half of it.
         self.shown = [f"{i}{end}".encode() for last, size in (("|", len(self.bytes_a)), (";", len(self.bytes_b))) for end in (",", last) for i in range(size)]
 
+    def _quick(self, model: dict):
+        """An encoder of A's vocabulary that is about three times as fast, if the file's merges go by its ids."""
+        from tiktoken import Encoding
+
+        vocabulary = model["vocab"]
+        merges = [x.split(" ") if isinstance(x, str) else x for x in model["merges"]]
+        merged = [vocabulary[a + b] for a, b in merges]
+        if model["type"] != "BPE" or model.get("dropout") or model.get("ignore_merges") or merged != sorted(merged) or len(merged) + 256 != len(vocabulary) - self._special(vocabulary):
+            return None
+        ranks = {self.bytes_a[i]: i for entry, i in vocabulary.items() if i not in self.a.get_added_tokens_decoder()}
+        return Encoding("a", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def _special(self, vocabulary: dict[str, int]) -> int:
+        return sum(i in vocabulary.values() for i in self.a.get_added_tokens_decoder())
+
+    def _ids_of_a(self, text: str) -> list[int]:
+        # About the classes of these characters both libraries agree; others go to the tokenizer itself.
+        if self.quick and _LATIN.fullmatch(text):
+            return self.quick.encode_ordinary(text)
+        return self.a.encode(text, add_special_tokens=False).ids
+
     def _segments(self, texts: list[bytes]) -> Iterator[tuple[int, int, list[str]]]:
         """(text, characters, units) of every segment of every text that is not empty, in order."""
         for i, text in enumerate(x.decode() for x in texts):
@@ -161,15 +185,15 @@ class Pair:
 
     def _learn(self, units: set[str]) -> None:
         """Encode the units that are not stored yet; when the store is full it starts anew with these."""
-        new = [u for u in units if u not in self.known_a]
+        new = units.difference(self.known_a)
         if len(self.known_a) + len(new) > STORED_UNITS:
             self.known_a.clear()
             self.known_b.clear()
-            new = list(units)
+            new = units
         # Units that begin and end as at a cut are encoded many in a string, as they are in a text.
-        plain = [u for u in new if _WHOLE.fullmatch(u)]
+        plain = list(filter(_WHOLE.fullmatch, new))
         groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
-        groups += [[u] for u in new if not _WHOLE.fullmatch(u)]
+        groups += [[u] for u in new.difference(plain)]
         while groups:
             groups = [[u] for group in groups if not self._store(group) for u in group]
 
@@ -177,7 +201,7 @@ class Pair:
         """Store the ids of some units as bytes, or the fact that a tokenizer changes a lone one; False to try them one by one."""
         text = " ".join(units)
         whole = f" {text}".encode()
-        ids_a = self.a.encode(f" {text}", add_special_tokens=False).ids
+        ids_a = self._ids_of_a(f" {text}")
         ids_b = self.b.encode(text)
         same = b"".join([self.bytes_a[x] for x in ids_a]) == whole == b"".join([self.bytes_b[x] for x in ids_b])
         if not same and len(units) > 1:
@@ -194,14 +218,14 @@ class Pair:
         return True
 
     def _aligned(self, batch: list[tuple[int, list[str]]]) -> Iterator[tuple]:
-        self._learn({u for _, units in batch for u in units})
+        self._learn(set().union(*(units for _, units in batch)))
         for i, units in batch:
-            found = [self.known_a[u] for u in units]
+            found = list(map(self.known_a.__getitem__, units))
             if None in found:
                 yield i, None
                 continue
             a = np.frombuffer(b"".join(found), "<i4").astype(np.int64)
-            b = np.frombuffer(b"".join([self.known_b[u] for u in units]), "<i4").astype(np.int64)
+            b = np.frombuffer(b"".join(map(self.known_b.__getitem__, units)), "<i4").astype(np.int64)
             last = align(np.cumsum(self.size_a[a]).tolist(), np.cumsum(self.size_b[b]).tolist())
             yield i, (a, b, np.array(last[0], np.int64), np.array(last[1], np.int64))
 
@@ -249,7 +273,7 @@ class Pair:
         order[np.arange(a.size) + np.repeat(last_b + 1 - counts_b, counts_a)] = code_a
         order[np.arange(b.size) + np.repeat(last_a + 1, counts_b)] = code_b
         shown = self.shown
-        return b"".join([shown[x] for x in order.tolist()])[:-1]
+        return b"".join(map(shown.__getitem__, order.tolist()))[:-1]
 
 
 @cache
