@@ -186,3 +186,16 @@ def test_headers_cost_no_more_for_longer_files(spark, tmp_path):
     assert (tmp_path / "long" / "a b+c%41.csv").stat().st_size > 40_000_000
     assert cost["long"] < cost["short"] + 1_000_000 < 3_000_000
     assert found.where("z IS NULL").count() == 2_000_000 and found.where("z = 2").first().y == "1"
+
+
+def test_stable_samples_and_ids_follow_the_rows(spark, frame, rows):
+    some = frame([(i % 300, None if i % 7 == 0 else f"v{i % 300}") for i in range(2400)] + [(5, "hot")] * 800, "x int, y string")
+    drawn = text.sample_rows_stable(some, 0.3)
+    assert rows(drawn) == rows(text.sample_rows_stable(some.repartition(13), 0.3))
+    assert rows(drawn) != rows(text.sample_rows_stable(some, 0.3, seed=4))
+    assert 0.25 < drawn.count() / 3200 < 0.35 and drawn.where("y = 'hot'").count() > 180
+    assert drawn.exceptAll(some).count() == 0
+    named = text.with_stable_uuid(some)
+    assert rows(named) == rows(text.with_stable_uuid(some.repartition(13)))
+    assert rows(named.drop("uuid")) == rows(some) and named.select("uuid").distinct().count() == 3200
+    assert text.sample_rows_stable(some, 0.0).count() == 0 and text.sample_rows_stable(some, 1.0).count() == 3200
