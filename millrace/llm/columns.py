@@ -7,13 +7,35 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A null id sorts behind all others; inside packed arrays this number stands for it.
 NULL_ID = np.iinfo(np.int64).max
 
 
+# Bytes of one batch between Spark and a Python worker. Each batch exists several times at once (Arrow in the executor and
+# in the worker, Python values, results), so Spark's default of 64 MB costs a task several hundred.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Batches of at most about BATCH_BYTES (one row may be larger), unless the session asks for fewer already."""
+    unit = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    given = spark.conf.get(_BATCH_SETTING, "64m").strip().lower()
+    digits = given.rstrip("bkmgi")
+    size = int(digits) * unit[(given[len(digits) :] or "b")[0]]
+    if not 0 < size <= BATCH_BYTES:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_BYTES))
+
+
+def col(name: str, of: str | None = None) -> Column:
+    """A column by its exact name, dots, spaces and backticks included; or that field of the struct ``of``."""
+    quoted = "`" + name.replace("`", "``") + "`"
+    return F.col(f"{of}.{quoted}" if of else quoted)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -11,11 +11,13 @@ shingle among their first ones (their prefixes). Steps:
 3. Group pairs that pass the size and place filters are expanded to sets and verified exactly. First
    each group only with the neighbour in its lists that it shares most shingles with, and the sets of a
    group with one of them; then, in lists that still hold several components, each set with its
-   neighbour in an order by hash. That is linear and joins most of a cluster of near copies. Before any
-   set is fetched, parity sketches exclude pairs that surely differ too much.
+   neighbour in an order by least hash, in which similar sets mostly stand side by side. A turn is linear;
+   turns go on, each by another hash, until one finds no link. Before any set is fetched, parity
+   sketches exclude pairs that surely differ too much.
 4. Components so far are contracted. All other candidate pairs whose sets are in different components
-   are verified; pairs inside one could not change the result. A cluster of any number of near copies so
-   needs no quadratic number of pairs, and no link between components is lost.
+   are verified, in lists of a shingle that can be the first they share; pairs inside one could not change
+   the result. A cluster of any number of near copies so needs no quadratic number of pairs, and no
+   link between components is lost.
 """
 
 from __future__ import annotations
@@ -26,9 +28,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from millrace.llm.blocks import read_block, read_extra, store_blocks, with_replies
-from millrace.llm.columns import id_and_text, ids_to_arrow, mix, pack, partitions, table, unpack
+from millrace.llm.columns import bound_batches, col, id_and_text, ids_to_arrow, mix, pack, partitions, table, unpack
 from millrace.llm.components import components
 from millrace.llm.repeats import slices
 from millrace.llm.words import ngram_hashes, words_of
@@ -39,8 +42,11 @@ PERCENT = 85
 # Counters of the frequency table. Its size is fixed; counts only order shingles, so
 # counters shared by several shingles cost speed and never a result.
 COUNTERS = 1 << 20
-# Rounds in which sets try one neighbour per list before all remaining pairs are tried.
-NEIGHBOUR_TURNS = 2
+# Least hashes kept for each set; the turns in which sets try one neighbour per list order by them in rotation.
+_ORDERS = 4
+# Neighbours that a set tries in each list and turn, and the entries a link may cost for the next turn to be worthwhile.
+_NEIGHBOURS = 4
+_WORTHWHILE = 50
 _PARTS = 16
 # 64-bit words of the parity sketch that is carried with every list entry, however long its document.
 _CARRIED = 64
@@ -80,6 +86,11 @@ def parity_sketch(items: np.ndarray, most: int | None = None) -> np.ndarray:
     return words
 
 
+def least_hashes(items: np.ndarray) -> list[int]:
+    """Under each of several hashes the least of the set's; two sets agree in one as often as they are similar."""
+    return [int(mix(items ^ np.uint64(seed)).min().view(np.int64)) for seed in range(1, _ORDERS + 1)]
+
+
 def _profiles(blocks: DataFrame, n: int) -> DataFrame:
     """(block, doc_id, doc, sig, n) rows for documents and (part, counts) rows for the frequency table."""
 
@@ -111,15 +122,31 @@ def _profiles(blocks: DataFrame, n: int) -> DataFrame:
 
 
 def _frequencies(profiles: DataFrame) -> np.ndarray:
-    """The frequency table, one 16-bit class per counter: of fixed size, however large the corpus."""
+    """The frequency table, one 16-bit class per counter: of fixed size, however large the corpus.
+
+    Tasks' tables are added in two levels, so that no group holds a part from every task.
+    """
+    spark = profiles.sparkSession
+
+    def total(group: pa.Table) -> np.ndarray:
+        out = np.zeros(COUNTERS // _PARTS, np.uint64)
+        for chunk in group.column("counts").chunks:
+            for blob in chunk:
+                out += unpack(blob.as_py())[0]
+        return out
 
     def add(group: pa.Table) -> pa.Table:
-        total = sum((unpack(x)[0].astype(np.uint64) for x in group.column("counts").to_pylist()), np.zeros(COUNTERS // _PARTS, np.uint64))
+        return pa.table({"part": group.column("part")[:1].cast(pa.int32()), "counts": pa.array([pack(total(group))], pa.binary())})
+
+    def rank(group: pa.Table) -> pa.Table:
         # Scaled, not clipped: eighth-of-an-octave classes keep the order of any counts.
-        rank = np.round(np.log2(total.astype(np.float64) + 1) * 1000).astype(np.uint16)
-        return pa.table({"part": group.column("part")[:1].cast(pa.int32()), "ranks": pa.array([rank.tobytes()], pa.binary())})
+        ranks = np.round(np.log2(total(group).astype(np.float64) + 1) * 1000).astype(np.uint16)
+        return pa.table({"part": group.column("part")[:1].cast(pa.int32()), "ranks": pa.array([ranks.tobytes()], pa.binary())})
 
-    rows = profiles.where("part IS NOT NULL").select("part", "counts").groupBy("part").applyInArrow(add, "part int, ranks binary").collect()
+    share = F.pmod(F.xxhash64("counts"), F.lit(partitions(spark))).alias("share")
+    tables = profiles.where("part IS NOT NULL").select("part", share, "counts")
+    sums = tables.groupBy("part", "share").applyInArrow(add, "part int, counts binary")
+    rows = sums.groupBy("part").applyInArrow(rank, "part int, ranks binary").collect()
     out = np.zeros(COUNTERS, np.uint16)
     for row in rows:
         size = COUNTERS // _PARTS
@@ -219,8 +246,8 @@ def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) ->
 
 
 def _sets(blocks: DataFrame, wanted: DataFrame, n: int, sketched: bool) -> DataFrame:
-    """(sig, items) of the sets in ``wanted`` (sig, block, doc), or their sketches (sig, size, carried, items) if ``sketched``."""
-    names = ["sig", "size", "carried", "items"] if sketched else ["sig", "items"]
+    """(sig, items) of the sets in ``wanted`` (sig, block, doc), or their sketches (sig, size, near, carried, items) if ``sketched``."""
+    names = ["sig", "size", "near", "carried", "items"] if sketched else ["sig", "items"]
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def made(sets: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
@@ -228,6 +255,7 @@ def _sets(blocks: DataFrame, wanted: DataFrame, n: int, sketched: bool) -> DataF
             kind = pa.list_(pa.int64())
             if sketched:
                 columns.append(pa.array([items.size for _, items in sets], pa.int64()))
+                columns.append(pa.array([least_hashes(items) for _, items in sets], kind))
                 columns.append(pa.array([parity_sketch(items, _CARRIED) for _, items in sets], kind))
             columns.append(pa.array([parity_sketch(items) if sketched else items.view(np.int64) for _, items in sets], kind))
             return pa.record_batch(columns, names)
@@ -248,7 +276,7 @@ def _sets(blocks: DataFrame, wanted: DataFrame, n: int, sketched: bool) -> DataF
 
     asked = wanted.select("block", F.col("doc").alias("bucket"), F.lit(None).cast("binary").alias("blob"))
     found = with_replies(blocks.select("block", "texts"), asked).where("replies IS NOT NULL")
-    kinds = {"sig": "bigint", "size": "bigint", "carried": "array<bigint>", "items": "array<bigint>"}
+    kinds = {"sig": "bigint", "size": "bigint", "near": "array<bigint>", "carried": "array<bigint>", "items": "array<bigint>"}
     return found.mapInArrow(pick, ", ".join(f"{name} {kinds[name]}" for name in names))
 
 
@@ -298,6 +326,18 @@ def _possible(n: str, place: str, other_n: str, other_place: str, percent: int)
     )
 
 
+def _first_shared(n: str, place: str, other_n: str, other_place: str, percent: int) -> str:
+    """SQL condition: the sets may be similar enough if this is the first shingle they share, in the order by frequency.
+
+    What they share then stands at or behind it in both. Every pair that is similar enough meets the condition in the list of
+    the first shingle it shares, so no other list need name the pair.
+    """
+    return (
+        f"100 * least({n}, {other_n}) >= {percent} * greatest({n}, {other_n}) AND "
+        f"{100 + percent} * least({n} - {place}, {other_n} - {other_place}) >= {percent} * ({n} + {other_n})"
+    )
+
+
 def jaccard_classes(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: classes of documents linked by a Jaccard similarity of ``percent`` or more.
 
@@ -322,8 +362,10 @@ def one_of_each_class(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -
     stored blocks, not by doc_id, which may be null or repeated. A row without words is its own class.
     """
     columns = docs.columns
-    others = [F.struct(*[F.col(c) for c in columns if c != "text"], F.col("text").isNull().alias("_none")).alias("row")]
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), *others)
+    # The caller's columns are in a struct of their own, so their names meet none of ours.
+    given = [F.struct(*[col(c) for c in columns if c != "text"]).alias("given")]
+    row = F.struct(F.col("text").isNull().alias("none"), *given).alias("row")
+    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), row)
     blocks = store_blocks(plain, ["row"])
     sets_of = _classed(blocks, n, percent)
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "sig", "block", "doc")).alias("at")
@@ -331,7 +373,7 @@ def one_of_each_class(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -
     ones = ones.unionByName(sets_of.where("root IS NULL").select("block", "doc"))
     # A block has a bounded number of bytes; its rows that stay are a list of places.
     gathered = ones.groupBy("block").agg(F.collect_list("doc").alias("stay"))
-    type_of = plain.schema["row"].dataType.simpleString()
+    made = StructType([StructField("text", BinaryType()), StructField("row", plain.schema["row"].dataType)])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -345,9 +387,9 @@ def one_of_each_class(docs: DataFrame, n: int = WORDS, percent: int = PERCENT) -
                     texts = [raw[a:b] for a, b in zip(bounds[own].tolist(), bounds[own + 1].tolist())]
                     yield pa.record_batch([pa.array(texts, pa.binary()), rows.take(pa.array(own))], ["text", "row"])
 
-    found = blocks.join(gathered, "block").select("texts", "extra", "stay").mapInArrow(cut, f"text binary, row {type_of}")
-    text = F.when(~F.col("row._none"), F.col("text").cast("string")).alias("text")
-    return found.select(*[text if c == "text" else F.col(f"row.`{c}`").alias(c) for c in columns])
+    found = blocks.join(gathered, "block").select("texts", "extra", "stay").mapInArrow(cut, made)
+    text = F.when(~F.col("row.none"), F.col("text").cast("string")).alias("text")
+    return found.select(*[text if c == "text" else col(c, "row.given").alias(c) for c in columns])
 
 
 def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
@@ -358,8 +400,9 @@ def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
     links = stored(links, "prefixes")
     every = links.where("token IS NOT NULL").drop("sig")
     # Of shingles with the same list one stays, with the number of them. Each alone is a complete
-    # condition for a pair, so the others add no candidate.
-    chosen = every.groupBy("whole").agg(F.min("token").alias("one"), F.count_distinct("token").alias("weight")).withColumnRenamed("whole", "list")
+    # condition for a pair, so the others add no candidate. It is the first of them in the order by frequency,
+    # which is the same in every group, so that the first list a pair shares keeps its place.
+    chosen = every.groupBy("whole").agg(F.min(F.struct("place", "token")).getField("token").alias("one"), F.count_distinct("token").alias("weight")).withColumnRenamed("whole", "list")
     lists = stored(every.join(chosen, (F.col("whole") == F.col("list")) & (F.col("token") == F.col("one"))).drop("whole", "list", "one"), "lists")
     members = links.where("sig IS NOT NULL").select("grp", "sig").distinct()
     # A group of several sets is a list of its own: its sets share the whole prefix.
@@ -397,30 +440,43 @@ def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
     entries = stored(entries, "entries")
     freed(links, lists)  # all that reads them is stored
 
-    def apart(found: DataFrame) -> DataFrame:
-        """Entries of lists that hold sets of several components, with their components."""
+    def apart(found: DataFrame, turn: int) -> DataFrame:
+        """Entries of lists that hold sets of several components, with their components and a least hash to order by.
+
+        Which of its least hashes goes by the list and the turn, so that a set meets other neighbours in each of its lists.
+        """
         roots = components(found).select(F.col("node"), "root")
+        near = sketches.select(F.col("sig").alias("of"), F.col("near").alias("hashes"))
         held = entries.join(roots, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "place", F.coalesce("root", "sig").alias("root"))
         mixed = held.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
-        return stored(held.join(mixed, "token", "left_semi"), "mixed")
+        both = held.join(mixed, "token", "left_semi").join(near, F.col("sig") == F.col("of"))
+        return stored(both.selectExpr("token", "sig", "n", "place", "root", f"hashes[CAST(pmod(token + {turn}, {_ORDERS}) AS INT)] AS near"), "mixed")
 
-    possible = _possible("n", "place", "other_n", "other_place", percent)
-    alike = _alike("carried", "other_carried", "n", "other_n", percent)
+    possible = _possible("n", "place", "other.n", "other.place", percent)
     links = first
-    for turn in range(NEIGHBOUR_TURNS):
-        lag = [f"lag({c}) OVER (PARTITION BY token ORDER BY xxhash64(sig, {turn}), sig) AS other_{c}" for c in ("sig", "n", "place", "root")]
-        mixed = apart(links)
-        near = mixed.selectExpr("*", *lag).where("root <> other_root AND " + possible)
-        near = near.select(F.least("sig", "other_sig").alias("u"), F.greatest("sig", "other_sig").alias("v")).distinct()
+    turn = 0
+    while True:
+        mixed = apart(links, turn)
+        window = f"OVER (PARTITION BY token ORDER BY near, xxhash64(sig, token, {turn}), sig)"
+        others = ", ".join(f"lag(struct(sig, n, place, root), {i}) {window}" for i in range(1, _NEIGHBOURS + 1))
+        near = mixed.selectExpr("*", f"array({others}) AS others").select("sig", "n", "place", "root", F.explode("others").alias("other"))
+        near = near.where("root <> other.root AND " + possible).select(F.least("sig", "other.sig").alias("u"), F.greatest("sig", "other.sig").alias("v")).distinct()
         more = _verified(admitted(near), blocks, where, n, percent)
-        freed(mixed)
         links = links.unionByName(more)
+        turn += 1
+        # A turn that links few of what it has seen is the last. Each but the last so takes a share of the components.
+        if more.count() * _WORTHWHILE <= mixed.count():
+            break
+        freed(mixed)
+    freed(mixed)
+    mixed = apart(links, turn)
+    possible = _possible("n", "place", "other_n", "other_place", percent)
 
     # Then: all candidates in different components.
-    mixed = apart(links)
-    left = mixed.join(sketches.select("sig", "carried"), "sig")
+    left = mixed.drop("near").join(sketches.select("sig", "carried"), "sig")
     other = left.selectExpr("token", "sig AS v", "root AS other_root", "n AS other_n", "place AS other_place", "carried AS other_carried")
-    pairs = left.join(other, "token").where("root < other_root AND " + possible + " AND " + alike)
+    may = f"{_first_shared('n', 'place', 'other_n', 'other_place', percent)} AND {_alike('carried', 'other_carried', 'n', 'other_n', percent)}"
+    pairs = left.join(other, "token").where(f"root < other_root AND {may}")
     last = _verified(admitted(pairs.select(F.col("sig").alias("u"), "v").distinct()), blocks, where, n, percent)
     freed(mixed, entries, sketches)
     final = components(links.unionByName(last))
@@ -429,4 +485,5 @@ def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     return jaccard_classes(table(spark, sf_dir, "documents"))
