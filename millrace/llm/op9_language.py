@@ -18,19 +18,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from millrace.llm.columns import table
+from millrace.llm.columns import bound_batches, col, pack, table, unpack
 
-# Bounds of what fitting reads, whatever the table's size: texts per language, and their
-# characters. Prediction reads all texts whole.
+# Texts per language that fitting reads, whole, whatever the table's size. Prediction reads all texts, whole.
 SAMPLE = 400
-SAMPLE_CHARS = 4000
-PIECES = 8  # a longer text is read in so many pieces, one at a hashed place in each stretch of it
 DENSE = 1 << 24  # n-grams are looked up in a table of all combinations up to this size, else by search
 LANDMARKS = 48  # per language
 RIDGE = 0.1
 NGRAMS = 3
-_CHUNK = 1 << 20  # characters scored at once
+_CHUNK = 1 << 20  # characters whose n-grams are looked at at once; longer texts go in slices
 
 
 @dataclass(frozen=True)
@@ -54,10 +52,23 @@ def _points(text: str) -> np.ndarray:
     return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), "<u4")
 
 
+def _slices(data: np.ndarray) -> Iterator[np.ndarray]:
+    """A sequence of code points in slices that overlap, so that each n-gram lies whole in one of them."""
+    for begin in range(0, max(data.size - NGRAMS + 1, 1), _CHUNK):
+        yield data[begin : begin + _CHUNK + NGRAMS - 1]
+
+
+def _grams_of(data: np.ndarray, longest: int = NGRAMS) -> np.ndarray:
+    found = np.zeros(0, np.uint64)
+    for part in _slices(data):
+        own = [_codes(part, n) for n in range(1, longest + 1) if part.size >= n]
+        found = np.unique(np.concatenate([found, *own]))
+    return found
+
+
 def text_grams(text: str, longest: int = NGRAMS) -> np.ndarray:
-    """Distinct n-gram codes of a text, ascending."""
-    data = _points(text)
-    return np.unique(np.concatenate([_codes(data, n) for n in range(1, longest + 1) if data.size >= n] or [np.zeros(0, np.uint64)]))
+    """Distinct n-gram codes of a text of any length, ascending."""
+    return _grams_of(_points(text), longest)
 
 
 def _kernel(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
@@ -72,24 +83,24 @@ def _kernel(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
         return out
 
     sizes = np.sqrt(np.outer([max(s.size, 1) for s in a], [max(s.size, 1) for s in b]))
-    return (presence(a) @ presence(b).T) / sizes
-
-
-def _pieces(text: str) -> str:
-    """SQL for the pieces of a text, SAMPLE_CHARS characters in all: the whole text if it has no more."""
-    size, stretch = SAMPLE_CHARS // PIECES, f"(length({text}) div {PIECES})"
-    at = f"i * {stretch} + pmod(xxhash64({text}, i), {stretch} - {size} + 1) + 1"
-    cut = f"transform(sequence(0, {PIECES - 1}), i -> substring({text}, CAST({at} AS INT), {size}))"
-    return f"CASE WHEN length({text}) <= {SAMPLE_CHARS} THEN array({text}) ELSE {cut} END"
+    right = presence(b).T
+    shared = [presence(a[first : first + 256]) @ right for first in range(0, len(a), 256)]
+    return np.concatenate(shared) / sizes
 
 
 def fit(docs: DataFrame, training: str, sample: int = SAMPLE, landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
     """Fit on the ``sample`` distinct texts per language with the smallest hash, among rows where ``training`` holds.
 
     Texts are chosen by content, so the model does not depend on the table's layout or order, nor on how
-    often a text is repeated: each language keeps all of its distinct texts up to ``sample``. They (at most
-    ``sample`` of SAMPLE_CHARS characters per language, drawn from the whole text) are all that reaches the driver.
+    often a text is repeated: each language keeps all of its distinct texts up to ``sample``. The executors reduce
+    each to its set of n-grams, from the whole text; these sets, bounded by the alphabets, are all that reaches the driver.
     """
+
+    def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            blobs = [pack(text_grams(text.as_py())) for text in batch.column("text")]
+            yield pa.record_batch([batch.column("lang"), batch.column("r"), pa.array(blobs, pa.binary())], ["lang", "r", "grams"])
+
     rows = docs.where(training).where("lang IS NOT NULL AND text IS NOT NULL AND text RLIKE '\\\\p{L}'").select("lang", "text", F.xxhash64("text").alias("h"))
     # Copies are reduced to one key on the map side, before anything is counted, thinned or ranked.
     distinct = rows.groupBy("lang", "h").agg(F.lit(1).alias("one"))
@@ -101,12 +112,12 @@ def fit(docs: DataFrame, training: str, sample: int = SAMPLE, landmarks: int = L
     ranked = thin.selectExpr("lang AS l", "h AS k", "row_number() OVER (PARTITION BY lang ORDER BY pmod(h, 1073741824), h) AS r").where(F.col("r") <= sample)
     # The sample bounds what is broadcast; equal texts are again combined on the map side.
     chosen = rows.join(F.broadcast(ranked), (F.col("lang") == F.col("l")) & (F.col("h") == F.col("k")))
-    chosen = chosen.groupBy("lang", "r").agg(F.min(F.expr(_pieces("text"))).alias("pieces"))
+    chosen = chosen.groupBy("lang", "r").agg(F.min("text").alias("text")).mapInArrow(reduced, "lang string, r int, grams binary")
     found = sorted(chosen.collect(), key=lambda x: (x.lang, x.r))
     languages = sorted({r.lang for r in found})
     if not languages:
         return Model([], np.zeros(0, np.uint64), np.zeros((0, 0), np.float32))
-    sets = [np.unique(np.concatenate([text_grams(p) for p in r.pieces])) for r in found]
+    sets = [unpack(r.grams)[0] for r in found]
     labels = np.array([languages.index(r.lang) for r in found])
     marks = [s for s, r in zip(sets, found) if r.r <= landmarks]
     values, vectors = np.linalg.eigh(_kernel(marks, marks).astype(np.float64))
@@ -164,36 +175,55 @@ class Scorer:
         at = np.minimum(np.searchsorted(sought, key), sought.size - 1)
         return np.where(sought[at] == key, places[at], np.int32(self.width))
 
-    def scores(self, texts: list[str]) -> np.ndarray:
-        """One row per text, one column per language."""
-        lists = [_points(t) for t in texts]
-        data = np.concatenate([np.concatenate(lists), np.zeros(3, "<u4")]) if lists else np.zeros(3, "<u4")
+    def _places(self, data: np.ndarray) -> list[np.ndarray]:
+        """For each n, the place among the model's n-grams of the one that starts at each code point."""
         rank = self.rank[data].astype(np.int64)
-        sizes = np.fromiter(map(len, lists), np.int64, len(lists))
-        begins = np.cumsum(sizes) - sizes
         keys = [rank]
         keys.append(keys[0][:-1] * self.base + rank[1:])
         keys.append(keys[1][:-1] * self.base + rank[2:])
-        found = [self._found(n, key) for n, key in enumerate(keys, 1)]
+        return [self._found(n, key) for n, key in enumerate(keys, 1)]
+
+    def _score(self, present: np.ndarray, total: np.ndarray) -> np.ndarray:
+        weights = self.model.weights
+        present[:, self.width] = 0
+        return (present[:, : self.width] @ weights[: self.width]) / np.sqrt(np.maximum(total, 1))[:, None] + weights[self.width]
+
+    def _long(self, points: np.ndarray) -> np.ndarray:
+        """The scores of one text, looked at slice by slice."""
+        present = np.zeros((1, self.width + 1), np.float32)
+        for part in _slices(points):
+            for n, places in enumerate(self._places(np.concatenate([part, np.zeros(3, "<u4")])), 1):
+                present[0, places[: max(0, part.size - n + 1)]] = 1
+        return self._score(present, np.array([_grams_of(points).size]))[0]
+
+    def scores(self, texts: list[str]) -> np.ndarray:
+        """One row per text, one column per language."""
+        lists = [_points(t) for t in texts]
         out = np.zeros((len(texts), len(self.model.languages)), np.float64)
+        short = [i for i, points in enumerate(lists) if points.size <= _CHUNK]
+        for i in sorted(set(range(len(lists))) - set(short)):
+            out[i] = self._long(lists[i])
+        if not short:
+            return out
+        data = np.concatenate([*(lists[i] for i in short), np.zeros(3, "<u4")])
+        sizes = np.array([lists[i].size for i in short])
+        begins = np.cumsum(sizes) - sizes
+        found = self._places(data)
         rows = max(1, (1 << 24) // (self.width + 1))
-        weights = self.model.weights
-        for first in range(0, len(texts), rows):
-            group = range(first, min(first + rows, len(texts)))
+        for first in range(0, len(short), rows):
+            group = range(first, min(first + rows, len(short)))
             present = np.zeros((len(group), self.width + 1), np.float32)
             total = np.zeros(len(group))
             for row, i in enumerate(group):
                 for n, places in enumerate(found, 1):
                     present[row, places[begins[i] : max(begins[i], begins[i] + sizes[i] - n + 1)]] = 1
-            present[:, self.width] = 0
-            for row, i in enumerate(group):
                 total[row] = self._distinct(data[begins[i] : begins[i] + sizes[i]])
-            out[group.start : group.stop] = (present[:, : self.width] @ weights[: self.width]) / np.sqrt(np.maximum(total, 1))[:, None] + weights[self.width]
+            out[short[group.start : group.stop]] = self._score(present, total)
         return out
 
     @staticmethod
     def _distinct(points: np.ndarray) -> int:
-        """Number of distinct n-grams of a text."""
+        """Number of distinct n-grams of a text of at most _CHUNK characters."""
         return sum(np.unique(_codes(points, n)).size for n in range(1, NGRAMS + 1) if points.size >= n)
 
 
@@ -236,10 +266,11 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
     if not keep:
         return docs.select(*columns).mapInArrow(score, "doc_id bigint, lang_pred string, score double")
     # The text goes to the workers and back once, not again inside ``row``.
-    others = F.struct(*[F.col(c) for c in keep if c != "text"], F.lit(0).alias("_"))
-    rows = docs.select(*columns, others.alias("row"))
-    found = rows.mapInArrow(score, f"doc_id bigint, lang_pred string, score double, text string, row {rows.schema['row'].dataType.simpleString()}")
-    row = F.struct(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in keep])
+    others = [c for c in keep if c != "text"] or ["doc_id"]
+    rows = docs.select(*columns, F.struct(*[col(c) for c in others]).alias("row"))
+    kinds = StructType.fromDDL("doc_id bigint, lang_pred string, score double, text string").add(rows.schema["row"])
+    found = rows.mapInArrow(score, kinds)
+    row = F.struct(*[F.col("text") if c == "text" else col(c, "row").alias(c) for c in keep])
     return found.select("doc_id", "lang_pred", "score", row.alias("row"))
 
 
@@ -247,6 +278,7 @@ HELD_OUT = "crc32(CAST(CAST(doc_id AS STRING) AS BINARY)) % 3 = 1"
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bound_batches(spark)
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, f"NOT ({HELD_OUT})")
     return predict(docs, model).selectExpr("doc_id", f"{HELD_OUT} AS held_out", "lang_pred", "score")
