@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import op3_packing, op5_suffix_dedup, op7_decontamination, op9_language, op10_jaccard_groups
-from millrace.llm.columns import table
+from millrace.llm.columns import bound_batches, table
 from millrace.plans.scratch import new_dir
 from millrace.session import ship_package
 
@@ -16,16 +16,22 @@ NEAR_WORDS = 5
 NEAR_PERCENT = 80
 
 
+def _ready(spark: SparkSession) -> None:
+    """Executors have the package; batches to Python workers are small, as documents travel in them whole."""
+    ship_package(spark)
+    bound_batches(spark)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language that the model knows; texts that are null or without letters go."""
-    ship_package(spark)
+    _ready(spark)
     model = op9_language.fit(docs, f"NOT ({op9_language.HELD_OUT})")
     return op9_language.predict(docs, model, keep=docs.columns).where("lang_pred <> 'und'").select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Exactly one row of each class of near copies: the one with the smallest doc_id, null being the largest."""
-    ship_package(spark)
+    _ready(spark)
     return op10_jaccard_groups.one_of_each_class(docs, NEAR_WORDS, NEAR_PERCENT)
 
 
@@ -34,7 +40,7 @@ def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     A character that a cut leaves incomplete goes with the cut; n_chars counts the new text.
     """
-    ship_package(spark)
+    _ready(spark)
     columns = docs.columns
     # The text comes back as the bytes that are left, so rows carry everything else beside it.
     missing = _unused(columns, "no_text")
@@ -63,7 +69,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their place in sequences of 4096 tokens."""
-    ship_package(spark)
+    _ready(spark)
     return op3_packing.pack_documents(docs, public_tokenizers.path(op3_packing.TOKENIZER), ids=False)
 
 
