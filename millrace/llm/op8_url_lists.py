@@ -51,9 +51,11 @@ def blocked_captures(captures: DataFrame, events: DataFrame) -> DataFrame:
     hit = levels.join(valid, (F.col("name") == F.col("domain")) & (F.col("since") <= F.col("on")) & (F.col("until").isNull() | (F.col("on") < F.col("until"))))
     best = hit.groupBy("of", "on").agg(F.min(F.struct("depth", "domain", "since")).alias("b"))
     found = best.select("of", "on", F.col("b.domain").alias("entry"), F.col("b.since").alias("entry_since"))
-    joined = named.join(found, (F.col("host") == F.col("of")) & (F.col("fetched") == F.col("on")), "left").drop("of", "on")
-    columns = [c for c in joined.columns if c not in ("entry", "entry_since")]
-    return joined.select(*columns, F.col("entry").isNotNull().alias("blocked"), "entry", "entry_since")
+    # Both sides meet as structs, so that no column of the captures can be mistaken for one of the verdicts.
+    left, right = named.select(F.struct("*").alias("capture")), found.select(F.struct("*").alias("verdict"))
+    same = (F.col("capture.host") == F.col("verdict.of")) & (F.col("capture.fetched") == F.col("verdict.on"))
+    blocked = F.col("verdict.entry").isNotNull().alias("blocked")
+    return left.join(right, same, "left").select("capture.*", blocked, "verdict.entry", "verdict.entry_since")
 
 
 # The tables have neither fetch days nor lists; both are derived from all pages: page n is fetched on day n of a

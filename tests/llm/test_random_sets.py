@@ -10,7 +10,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 
 import brute  # noqa: E402
 
-from millrace.llm import op9_language, op10_jaccard_groups  # noqa: E402
+from millrace.llm import op8_url_lists, op9_language, op10_jaccard_groups  # noqa: E402
 from millrace.llm.columns import BATCH_BYTES, bound_batches  # noqa: E402
 from millrace.session import ship_package  # noqa: E402
 
@@ -87,3 +87,10 @@ def test_batches_are_bounded_but_never_widened(spark):
             assert spark.conf.get(key) == (str(expected) if given == "64m" else given)
     finally:
         spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def test_captures_with_columns_named_like_ours(spark):
+    captures = spark.sql("SELECT 'http://a.example.org/x' AS url, DATE '2024-01-05' AS fetched, 1 AS of, 2 AS `on`, 3 AS domain, 4 AS name")
+    events = spark.sql("SELECT 'example.org' AS domain, DATE '2024-01-01' AS day, true AS added")
+    (row,) = op8_url_lists.blocked_captures(captures, events).collect()
+    assert (row["of"], row["on"], row["domain"], row["name"], row["host"], row["blocked"], row["entry"]) == (1, 2, 3, 4, "a.example.org", True, "example.org")
