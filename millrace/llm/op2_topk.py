@@ -16,9 +16,14 @@ from pyspark.sql import functions as F
 from millrace.llm.columns import partitions, table
 
 K = 5
-# Candidates and queries that one task compares: both bounded, so memory does not grow with the table.
+# Candidates and queries that one task compares: both bounded in rows and in bytes of their components.
 STRIPE = 1 << 16
 WAVE = 1 << 17
+HELD_BYTES = 64 << 20
+# Scores are exact: in doubles while no squared length reaches the first bound, in integers up to the second.
+DOUBLES = 1 << 53
+LONGS = 1 << 62
+_NONE = -LONGS  # below every score
 _QUERIES = 64  # queries bounded at once
 _LEVELS = (4, 16)
 
@@ -31,43 +36,45 @@ def segment_statistics(vectors: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(means + [p.std(1) * r for p, r in zip(parts, roots)], axis=1)
 
 
-def best_of(queries: np.ndarray, query_ids: np.ndarray, rows: np.ndarray, ids: np.ndarray, k: int) -> list[tuple[int, int, int]]:
-    """(query id, id, score) of each query's k best rows with another id; ``rows`` ascend by id.
+def best_of(asked: np.ndarray, query_ids: np.ndarray, held: np.ndarray, ids: np.ndarray, k: int, wide: bool = False) -> list[tuple[int, int, int]]:
+    """(place of the query, id, score) of each query's k best rows with another id; ``held`` ascends by id.
 
-    Integer vectors as doubles: products and sums below 2^53 are exact.
+    Vectors of integers. Bounds are taken in doubles with some slack; scores are exact, ``wide`` ones by
+    integer products.
     """
+    queries, rows = asked.astype(np.float64), held.astype(np.float64)
+    exact_queries, exact_rows = (asked, held) if wide else (queries, rows)
     levels = [(segment_statistics(queries, n), segment_statistics(rows, n)) for n in _LEVELS]
     slack = 1e-9 * (1 + np.linalg.norm(queries, axis=1) * (np.linalg.norm(rows, axis=1).max() if len(rows) else 0))
     out: list[tuple[int, int, int]] = []
     for first in range(0, len(queries), _QUERIES):
         part = slice(first, min(first + _QUERIES, len(queries)))
-        q = queries[part]
         own = query_ids[part][:, None] == ids[None, :]
         bound = levels[0][0][part] @ levels[0][1].T + slack[part][:, None]
         bound[own] = -np.inf
         keep = min(k, bound.shape[1])
         # Exact scores of the most promising rows give each query a score to beat.
         top = np.argpartition(-bound, keep - 1, axis=1)[:, :keep]
-        seeds = np.einsum("qd,qkd->qk", q, rows[top])
-        seeds[np.take_along_axis(own, top, 1)] = -np.inf
+        seeds = np.einsum("qd,qkd->qk", exact_queries[part], exact_rows[top])
+        seeds[np.take_along_axis(own, top, 1)] = _NONE
         beat = seeds.min(1)[:, None]
         left = bound >= beat
         columns = np.flatnonzero(left.any(0))
         fine = levels[1][0][part] @ levels[1][1][columns].T + slack[part][:, None]
         left = left[:, columns] & (fine >= beat)
         columns = columns[left.any(0)]
-        scores = q @ rows[columns].T
-        scores[own[:, columns]] = -np.inf
+        scores = exact_queries[part] @ exact_rows[columns].T
+        scores[own[:, columns]] = _NONE
         keep = min(k, columns.size)
         if not keep:
             continue
         last = -np.partition(-scores, keep - 1, axis=1)[:, keep - 1 : keep]
-        row, at = np.nonzero((scores >= last) & (scores > -np.inf))
+        row, at = np.nonzero((scores >= last) & (scores > _NONE))
         order = np.lexsort((ids[columns[at]], -scores[row, at], row))
         row, at = row[order], at[order]
         rank = np.arange(row.size) - np.searchsorted(row, row)
         few = rank < k
-        out += zip(query_ids[part][row[few]].tolist(), ids[columns[at[few]]].tolist(), scores[row[few], at[few]].astype(np.int64).tolist())
+        out += zip((first + row[few]).tolist(), ids[columns[at[few]]].tolist(), scores[row[few], at[few]].astype(np.int64).tolist())
     return out
 
 
@@ -75,36 +82,50 @@ def top_k(vectors: DataFrame, queries: str, k: int = K) -> DataFrame:
     """query_id, rank, vec_id, score: for rows where ``queries`` holds, their k highest integer inner products.
 
     ``vectors`` has vec_id and embedding; components become floor(256 * x). Ties go to the smaller
-    vec_id. A query's own vec_id is no candidate for it; of rows that repeat a vec_id and vector one counts.
-    Null ids, null vectors, and those holding null or non-finite components take no part; vectors are
+    vec_id. A query's own vec_id is no candidate for it. Of rows that repeat a vec_id and vector one counts;
+    rows with one vec_id and different vectors are queries and candidates of their own, so such a query_id
+    has k rows for each of its vectors and such a vec_id may be listed for each of its vectors. Scores are
+    exact; a table with a squared length of 2^62 or more, whose scores need not fit a long, is refused with an error. Null ids, null vectors, and those holding null or non-finite components take no part; vectors are
     compared with those of their own length; an empty table gives an empty result. Queries meet rows in
     blocks of bounded size, and a query's best rows of each stripe are merged.
     """
     spark = vectors.sparkSession
     whole = "vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('inf'))"
-    rows = vectors.where(whole).selectExpr("cast(vec_id AS bigint) AS vec_id", f"coalesce({queries}, false) AS asked", "transform(embedding, x -> cast(floor(256 * cast(x AS double)) AS bigint)) AS v").distinct()
-    size = rows.agg(F.count("*").alias("n"), F.count_if("asked").alias("q")).first()
-    stripes = max(partitions(spark), -(-size.n // STRIPE))
-    waves = max(1, -(-size.q // WAVE))
-    stripe = F.pmod(F.xxhash64("vec_id"), F.lit(stripes)).alias("stripe")
+    rows = (
+        vectors.where(whole)
+        .selectExpr("cast(vec_id AS bigint) AS vec_id", f"coalesce({queries}, false) AS asked", "transform(embedding, x -> cast(floor(256 * cast(x AS double)) AS bigint)) AS v")
+        .distinct()
+        .withColumn("print", F.xxhash64("vec_id", "v"))
+    )
+    squares = F.expr("aggregate(v, 0D, (sum, x) -> sum + cast(x AS double) * cast(x AS double))")
+    size = rows.agg(F.count("*").alias("n"), F.count_if("asked").alias("q"), F.max(F.size("v")).alias("d"), F.max(squares).alias("square")).first()
+    if (size.square or 0) >= LONGS * (1 - 1e-9):
+        raise ValueError(f"the squared length of a vector in 1/256 is {size.square:.3g}; scores are exact below 2^62 only")
+    wide = (size.square or 0) >= DOUBLES * (1 - 1e-9)
+    most = max(1, HELD_BYTES // (8 * max(size.d or 1, 1)))
+    stripes = max(partitions(spark), -(-size.n // min(STRIPE, most)))
+    waves = max(1, -(-size.q // min(WAVE, most)))
+    stripe = F.pmod("print", F.lit(stripes)).alias("stripe")
     every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(waves - 1).cast("bigint"))).alias("wave")
-    held = rows.select(stripe, every, F.size("v").alias("d"), F.lit(False).alias("asked"), "vec_id", "v")
+    held = rows.select(stripe, every, F.size("v").alias("d"), F.lit(False).alias("asked"), "vec_id", "print", "v")
     spread = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(stripes - 1).cast("bigint"))).alias("stripe")
-    wave = F.pmod(F.xxhash64("vec_id"), F.lit(waves)).alias("wave")
-    sent = rows.where("asked").select(spread, wave, F.size("v").alias("d"), "asked", "vec_id", "v")
+    wave = F.pmod("print", F.lit(waves)).alias("wave")
+    sent = rows.where("asked").select(spread, wave, F.size("v").alias("d"), "asked", "vec_id", "print", "v")
 
     def compare(group: pa.Table) -> pa.Table:
         asked = group.column("asked").to_numpy(zero_copy_only=False).astype(bool)
         ids = group.column("vec_id").to_numpy()
         values = group.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        matrix = values.astype(np.float64).reshape(len(ids), -1)
-        order = np.argsort(ids[~asked], kind="stable")
-        found = best_of(matrix[asked], ids[asked], matrix[~asked][order], ids[~asked][order], k) if asked.any() and order.size else []
-        columns = zip(*found) if found else ((), (), ())
-        return pa.table([pa.array(c, pa.int64()) for c in columns], ["query_id", "vec_id", "score"])
-
-    best = held.unionByName(sent).groupBy("stripe", "wave", "d").applyInArrow(compare, "query_id bigint, vec_id bigint, score bigint")
-    ranked = best.selectExpr("query_id", "vec_id", "score", "row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank")
+        matrix = values.reshape(len(ids), -1)
+        rows = np.flatnonzero(~asked)
+        rows = rows[np.argsort(ids[rows], kind="stable")]
+        found = best_of(matrix[asked], ids[asked], matrix[rows], ids[rows], k, wide) if asked.any() and rows.size else []
+        place, vec_id, score = (np.array(c, np.int64) for c in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
+        prints = group.column("print").to_numpy()[asked]
+        return pa.table([ids[asked][place], prints[place], vec_id, score], ["query_id", "print", "vec_id", "score"])
+
+    best = held.unionByName(sent).groupBy("stripe", "wave", "d").applyInArrow(compare, "query_id bigint, print bigint, vec_id bigint, score bigint")
+    ranked = best.selectExpr("query_id", "vec_id", "score", "row_number() OVER (PARTITION BY query_id, print ORDER BY score DESC, vec_id) AS rank")
     return ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
