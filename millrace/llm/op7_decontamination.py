@@ -9,6 +9,9 @@ are extended into one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +20,10 @@ from millrace.plans.scratch import stored
 
 WINDOW = 10
 GRAM = 5
-# The benchmark side is broadcast only up to so many distinct windows (about 100 bytes each); beyond that
-# the joins are ordinary ones, which Spark shuffles and splits by skew.
+# What is broadcast of the benchmark side is counted first, in rows and in bytes of their text; beyond either
+# bound a join is an ordinary one, which Spark shuffles and splits by skew.
 BROADCAST_WINDOWS = 200_000
+BROADCAST_BYTES = 32 << 20
 _WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _LOWERED = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -28,18 +32,30 @@ def _words(text: str) -> str:
     return f"coalesce(regexp_extract_all({_LOWERED.format(text=text)}, '{_WORD}', 0), cast(array() AS array<string>))"
 
 
-def _fingerprints(rows: DataFrame, window: int, gram: int) -> DataFrame:
-    """Adds ``prints``: the distinct window fingerprints of ``words``."""
+def _fingerprints(rows: DataFrame, window: int, gram: int, lengths: list[int]) -> DataFrame:
+    """Adds ``prints``: distinct hashes of ``words``; winnowed fingerprints for ``window``, of all runs of a smaller length."""
     span = window - gram + 1
-    terms = ", ".join(f"hashes[i + {k}]" for k in range(gram))
+
+    def runs(n: int) -> str:
+        terms = ", ".join(f"hashes[i + {k}]" for k in range(n))
+        return f"CASE WHEN size(hashes) >= {n} THEN transform(sequence(0, size(hashes) - {n}), i -> xxhash64({terms})) END"
+
+    winnowed = f"CASE WHEN size(hashes) >= {window} THEN transform(sequence(1, size(grams) - {span - 1}), i -> array_min(slice(grams, i, {span}))) END"
+    lists = ", ".join(f"coalesce({winnowed if n == window else runs(n)}, cast(array() AS array<bigint>))" for n in lengths)
     return (
         rows.withColumn("hashes", F.expr("transform(words, w -> xxhash64(w))"))
-        .withColumn("grams", F.expr(f"CASE WHEN size(hashes) >= {window} THEN transform(sequence(0, size(hashes) - {gram}), i -> xxhash64({terms})) END"))
-        .withColumn("prints", F.expr(f"CASE WHEN size(grams) >= {span} THEN array_distinct(transform(sequence(1, size(grams) - {span - 1}), i -> array_min(slice(grams, i, {span})))) END"))
+        .withColumn("grams", F.expr(runs(gram)))
+        .withColumn("prints", F.expr(f"array_distinct(concat({lists}))"))
         .drop("hashes", "grams")
     )
 
 
+def _sent_whole(rows: DataFrame, bytes_of: str) -> Callable[[DataFrame], DataFrame]:
+    """A broadcast hint when ``rows`` are few and small enough to be sent whole, else no hint."""
+    size = rows.agg(F.count("*").alias("n"), F.sum(F.expr(bytes_of)).alias("bytes")).first()
+    return F.broadcast if size.n <= BROADCAST_WINDOWS and (size.bytes or 0) <= BROADCAST_BYTES else lambda x: x
+
+
 def _windows(rows: DataFrame, lengths: list[int], *keys: str) -> DataFrame:
     """One row per window of each length: the keys, place, length and the window's words as one text."""
     lists = [
@@ -81,31 +97,28 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
         none = F.lit(0).cast("bigint")
         return counted.select("doc_id", F.col("n_words").cast("bigint").alias("n_words"), none.alias("n_hit"), none.alias("n_items"), F.array().cast("array<string>").alias("item_ids"), *carried)
     sought = stored(sought.where("window IS NOT NULL").select("item", "length", "window").distinct(), "windows")
-    small = sought.select("window").distinct().count() <= BROADCAST_WINDOWS
-    held_small = F.broadcast if small else (lambda x: x)
-
-    # Documents that share a fingerprint, or hold a short item's hash.
-    found = None
-    if window in lengths:
-        prints = _fingerprints(held.where(f"size(words) >= {window}"), window, gram).select(F.explode_outer("prints").alias("p")).distinct()
-        own = _fingerprints(worded, window, gram).select("doc_id", F.explode_outer("prints").alias("p"))
-        found = own.join(held_small(prints), "p", "left_semi").select("doc_id")
-    for n in short:
-        terms = ", ".join(f"hashes[i + {k}]" for k in range(n))
-        hashed = "transform(words, w -> xxhash64(w))"
-        pieces = f"CASE WHEN size(hashes) >= {n} THEN array_distinct(transform(sequence(0, size(hashes) - {n}), i -> xxhash64({terms}))) END"
-        prints = held.where(f"size(words) = {n}").withColumn("hashes", F.expr(hashed)).select(F.explode_outer(F.expr(pieces)).alias("p")).distinct()
-        own = worded.withColumn("hashes", F.expr(hashed)).select("doc_id", F.explode_outer(F.expr(pieces)).alias("p"))
-        more = own.join(held_small(prints), "p", "left_semi").select("doc_id")
-        found = more if found is None else found.unionByName(more)
+    distinct = stored(sought.select("length", "window").distinct(), "distinct-windows")
+    sent = _sent_whole(distinct, "octet_length(window)")
+    # Items' fingerprints are as many as their distinct windows at most, and of eight bytes.
+    sent_prints = _sent_whole(distinct, "0")
+    # One window may stand in many items, so rows with the items' names are counted apart.
+    sent_names = _sent_whole(sought, "octet_length(window) + coalesce(octet_length(item), 0)")
+
+    # Documents that share a fingerprint, or hold a short item's hash: all lengths in one pass over the documents.
+    # Hashes of different lengths that are equal make a document a suspect, which is then compared in full.
+    prints = [_fingerprints(held.where(f"size(words) >= {window}"), window, gram, [window]).select(F.explode_outer("prints").alias("p"))] if window in lengths else []
+    prints += [_fingerprints(held.where(f"size(words) = {n}"), window, gram, [n]).select(F.explode_outer("prints").alias("p")) for n in short]
+    wanted = reduce(DataFrame.unionByName, prints).where("p IS NOT NULL").distinct()
+    own = _fingerprints(worded, window, gram, lengths).select("doc_id", F.explode_outer("prints").alias("p"))
+    found = own.join(sent_prints(wanted), "p", "left_semi").select("doc_id")
     suspects = found.distinct().withColumnRenamed("doc_id", "suspect")
     near = docs.join(suspects, F.col("doc_id").eqNullSafe(F.col("suspect")), "left_semi").select("doc_id", "print", F.expr(_words("text")).alias("words"))
-    hits = _windows(near, lengths, "doc_id", "print").join(held_small(sought.select("length", "window").distinct()), ["length", "window"])
+    hits = _windows(near, lengths, "doc_id", "print").join(sent(distinct), ["length", "window"])
     hits = stored(hits, "hits")
     # One row per document, place and window; a place is counted once however many windows cover it.
     places = hits.select("doc_id", "print", F.explode(F.expr("sequence(place, place + length - 1)")).alias("at")).distinct()
     covered = places.groupBy("doc_id", "print").agg(F.count("*").alias("n_hit"))
-    named = hits.select("doc_id", "print", "length", "window").distinct().join(held_small(sought), ["length", "window"]).select("doc_id", "print", "item").distinct()
+    named = hits.select("doc_id", "print", "length", "window").distinct().join(sent_names(sought), ["length", "window"]).select("doc_id", "print", "item").distinct()
     listed = named.groupBy("doc_id", "print").agg(F.count("*").alias("n_items"), F.array_sort(F.collect_list("item")).alias("item_ids"))
     facts = covered.join(listed, covered["doc_id"].eqNullSafe(listed["doc_id"]) & (covered["print"] == listed["print"])).select(
         covered["doc_id"].alias("hit_id"), covered["print"].alias("hit_print"), "n_hit", "n_items", "item_ids"
