@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator
 from functools import cache
@@ -20,6 +21,21 @@ _LETTERS = "a-zªµºß-öø-ÿ"
 _NUMBERS = "0-9²³¹¼½¾"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
 
+# The settings of a tokenizer file that the pattern above and the splitting at white space stand for. Fixed values.
+_KNOWN = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+    "post_processor": None,
+}
+# Texts that the library encodes at once when a file's settings are others.
+_TEXTS = 64
+
 
 def _byte_letters() -> dict[int, int]:
     """Byte-level vocabularies write each byte as a printable character: itself, or the next one from 256 up."""
@@ -29,9 +45,10 @@ def _byte_letters() -> dict[int, int]:
 
 
 class WordTokenizer:
-    """Ids equal to ``Tokenizer.encode(text, add_special_tokens=False).ids``, word by word.
+    """Ids equal to ``Tokenizer.encode(text, add_special_tokens=False).ids`` of whole texts, without truncation or padding.
 
-    White space only separates for this kind of tokenizer file (byte-level BPE with word ends, lower
+    Word by word for a file whose settings are the ones written out above; any other file's texts
+    go to the library whole. White space only separates for this kind of tokenizer file (byte-level BPE with word ends, lower
     case, white space dropped), so a text's ids are its words' ids in order. Words are told apart by two
     64-bit hashes of their bytes, computed for all words of a slice at once; only a word that the
     process has not seen is encoded. Words outside the first 256 code points, or with a special
@@ -43,9 +60,17 @@ class WordTokenizer:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
         added = list(self.tokenizer.get_added_tokens_decoder().values())
-        if any(t.lstrip or t.rstrip or t.single_word or t.content.split() != [t.content] for t in added):
-            raise ValueError(f"{path}: a special token reaches beyond its word")
+        settings = json.loads(self.tokenizer.to_str())
+        model = settings["model"]
+        self.by_words = (
+            all(settings[name] == value for name, value in _KNOWN.items())
+            and model["type"] == "BPE"
+            and not model["dropout"]
+            and not any(t.lstrip or t.rstrip or t.single_word or t.normalized or t.content.split() != [t.content] for t in added)
+        )
         self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
         self.letters = _byte_letters()
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
@@ -64,7 +89,7 @@ class WordTokenizer:
             word.encode("latin-1")
         except UnicodeEncodeError:
             return self.tokenizer.encode(word, add_special_tokens=False).ids
-        if "<" in word and self.special.search(word):
+        if self.special.search(word):
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         out: list[int] = []
         for piece in _PIECES.findall(word.lower()):
@@ -103,6 +128,12 @@ class WordTokenizer:
 
     def encode_many(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of each UTF-8 text, as unsigned 16- or 32-bit arrays."""
+        if not self.by_words:
+            found: list[np.ndarray] = []
+            for at in range(0, len(texts), _TEXTS):
+                some = [x.decode() for x in texts[at : at + _TEXTS]]
+                found += (np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(some, add_special_tokens=False))
+            return found
         data, starts, ends, keys, bounds = words_of(texts)
         checks = word_hashes(data, starts, ends, radix=1)
         keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
