@@ -28,6 +28,7 @@ from millrace.llm import (  # noqa: E402
 from millrace.llm.columns import pack, unpack  # noqa: E402
 from millrace.llm.components import components  # noqa: E402
 from millrace.llm.repeats import leftmost_minimum  # noqa: E402
+from millrace.llm.tokens import WordTokenizer  # noqa: E402
 from millrace.session import ship_package  # noqa: E402
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -101,6 +102,54 @@ def test_top_k_equals_sql_and_skips_bad_vectors(spark):
     assert op2_topk.top_k(vectors.where("vec_id < 0"), "vec_id % 50 = 0").count() == 0
 
 
+def test_top_k_with_repeated_ids_and_scores_beyond_doubles(spark):
+    far = 2.0**21 + 1 / 256  # squares of 2^58 and more in 1/256
+    rows = [(50, [1.0, 0.0]), (50, [0.0, 1.0]), (50, [1.0, 0.0]), (51, [0.5, 0.25]), (51, [0.25, 0.5]), (52, [far, far]), (100, [far, -1.0])]
+    for data in ([r for r in rows if r[0] < 52], rows):
+        whole = sorted({(i, tuple(int(256 * x // 1) for x in v)) for i, v in data})
+        expected = []
+        for i, v in whole:
+            if i % 50 == 0:
+                scores = sorted((-sum(a * b for a, b in zip(v, w)), j) for j, w in whole if j != i)
+                expected += [(i, n + 1, j, -x) for n, (x, j) in enumerate(scores[:5])]
+        vectors = spark.createDataFrame(data, "vec_id bigint, embedding array<double>")
+        assert sorted(map(tuple, op2_topk.top_k(vectors, "vec_id % 50 = 0").collect())) == sorted(expected)
+    for x in (1e15, -1e300):
+        with pytest.raises(ValueError, match="squared length"):
+            op2_topk.top_k(spark.createDataFrame([(50, [x]), (51, [x])], "vec_id bigint, embedding array<double>"), "vec_id % 50 = 0")
+
+
+@pytest.mark.parametrize("size", [1, 100, 10**9])
+def test_top_k_in_stripes_of_few_bytes(spark, monkeypatch, size):
+    rng = np.random.default_rng(2)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(0, 0.2, (60, 4)))], "vec_id bigint, embedding array<double>")
+    monkeypatch.setattr(op2_topk, "HELD_BYTES", size * 32)
+    con = duckdb.connect()
+    con.register("embeddings", vectors.toPandas())
+    assert sorted(map(tuple, op2_topk.top_k(vectors, "vec_id % 50 = 0").collect())) == sorted(con.execute(op2_topk.ORACLE_SQL).fetchall())
+
+
+@pytest.mark.parametrize("file", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_ids_of_any_tokenizer_file_equal_the_library(file):
+    path = public_tokenizers.path(file)
+    rng = np.random.default_rng(3)
+    letters = list("abzAZ 09.,'\n\t<|>") + ["'s", "é", "e\u0301", "\u00a0", "ß", "İ", "中", "😀", "<|endoftext|>", " ", " "]
+    texts = ["", " ", "It's  two\n\nLINES"] + ["".join(rng.choice(letters, rng.integers(1, 60))) for _ in range(300)]
+    tokenizer, library = WordTokenizer(path), Tokenizer.from_file(path)
+    found = tokenizer.encode_many([x.encode() for x in texts])
+    assert [x.tolist() for x in found] == [library.encode(x, add_special_tokens=False).ids for x in texts]
+    assert tokenizer.by_words == (file == "word_bpe_49k.json")
+
+
+def test_packing_with_another_tokenizer_file(docs):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encode = Tokenizer.from_file(path).encode
+    ids = {r[0]: [*encode(r[1] or "", add_special_tokens=False).ids, 1] for r in brute.awkward(ITEM)}
+    for r in op3_packing.pack_documents(docs, path, capacity=64).collect():
+        piece = ids[r.doc_id][r.start : r.start + r.length]
+        assert (r.ids_crc32, r.length) == (crc(piece), len(piece))
+
+
 def test_packing_places_every_piece_once(docs, empty, tokens):
     rows = op3_packing.pack_documents(docs, WORDS, capacity=64).collect()
     bins = {}
@@ -290,3 +339,24 @@ def test_leftmost_minimum_and_packing_of_arrays():
         assert leftmost_minimum(values, width).tolist() == [i + int(values[i : i + width].argmin()) for i in range(200 - width + 1)]
     arrays = [np.arange(5), np.zeros(0, np.uint64), np.array([True])]
     assert [a.tolist() for a in unpack(pack(*arrays))] == [a.tolist() for a in arrays]
+
+
+def test_items_that_share_one_window_are_not_broadcast(spark, monkeypatch):
+    words = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(f"i{n}", words) for n in range(300)] + [("s", "rare pair"), (None, "lone")], "item_id string, text string")
+    docs = spark.createDataFrame([(1, f"a {words} b"), (2, "a Rare, pair"), (3, "clean"), (4, "lone"), (5, None)], "doc_id bigint, text string")
+
+    def found():
+        rows = op7_decontamination.contamination(docs, items)
+        hints = rows._jdf.queryExecution().analyzed().toString().count("strategy=broadcast")
+        return hints, {r.doc_id: (r.n_words, r.n_hit, r.n_items, tuple(r.item_ids)) for r in rows.collect()}
+
+    expected = {1: (12, 10, 300, tuple(sorted(f"i{n}" for n in range(300)))), 2: (3, 2, 1, ("s",)), 3: (1, 0, 0, ()), 4: (1, 1, 1, ()), 5: (0, 0, 0, ())}
+    hints, rows = found()
+    assert rows == expected
+    monkeypatch.setattr(op7_decontamination, "BROADCAST_WINDOWS", 100)  # three windows, but 302 rows with their items
+    few, rows = found()
+    assert rows == expected and few < hints
+    monkeypatch.setattr(op7_decontamination, "BROADCAST_BYTES", 1)
+    none, rows = found()
+    assert rows == expected and none < hints
