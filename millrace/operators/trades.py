@@ -163,10 +163,14 @@ def crowded_windows(busy: DataFrame) -> DataFrame:
     return busy.where(F.col("users_count") > 1)
 
 
-def _opposite(trades: DataFrame, id: str, s: int, n: int, block: int | None) -> DataFrame:
-    users = _window_users(windowed(trades, id, s), id).where(
+def _opposite_users(trades: DataFrame, id: str, s: int, n: int) -> DataFrame:
+    """Busy logins of each window, with the range of their cmd codes."""
+    return _window_users(windowed(trades, id, s), id).where(
         (F.col("same_window_count") > n) & F.col("low_cmd").isNotNull()
     )
+
+
+def _opposite(users: DataFrame, block: int | None) -> DataFrame:
     options = {} if block is None else {"block": block}
     return differing_pairs(
         users, group="time_window", member="login", low="low_cmd", high="high_cmd", **options
@@ -177,14 +181,16 @@ def opposite_pairs(
     trades: DataFrame, id: str, s: int = 30, n: int = 10, block: int | None = None
 ) -> DataFrame:
     """Pairs of busy logins (left > right) holding trades of different cmd in one window."""
-    return _opposite(trades, id, s, n, block).distinct()
+    return _opposite(_opposite_users(trades, id, s, n), block)
 
 
 def suspicious_pairs(
     trades: DataFrame, deals: DataFrame, s: int = 30, n: int = 10, block: int | None = None
 ) -> DataFrame:
-    """Opposite pairs of both platforms as one set."""
-    both = _opposite(trades, "ticket", s, n, block).union(
-        _opposite(open_deals(deals), "positionid", s, n, block)
-    )
-    return both.distinct()
+    """Opposite pairs of both platforms as one set.
+
+    Even windows are those of trades, odd ones those of deals, so that one search covers both and returns a pair once.
+    """
+    both = [_opposite_users(trades, "ticket", s, n), _opposite_users(open_deals(deals), "positionid", s, n)]
+    apart = [x.withColumn("time_window", F.col("time_window") * 2 + i) for i, x in enumerate(both)]
+    return _opposite(apart[0].unionByName(apart[1]), block)

@@ -93,6 +93,18 @@ def test_pair_search_reads_its_input_once(spark):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def test_pairs_are_not_shuffled(spark):
+    """Only members are sent, to tasks whose number is given: neither the pairs, nor all members to one task for being small."""
+    some = spark.range(0, 20_000, 1, 8).selectExpr(
+        "id % 100 AS login", "id AS ticket", "cast(id % 2 AS int) AS cmd", "timestamp_seconds(id div 500) AS open_time"
+    )
+    deals = some.selectExpr("login", "ticket AS positionid", "cmd AS action", "0 AS entry", "open_time AS time")
+    for found in (trades.opposite_pairs(some, "ticket", 30, 2), trades.suspicious_pairs(some, deals, 30, 2)):
+        plan = final_plan(found)
+        assert re.search(r"hashpartitioning\(_row#\d+L, _column#\d+L, 8\), REPARTITION_BY_NUM", plan)
+        assert not re.search(r"hashpartitioning\(left#", plan)
+
+
 def test_window_counts_use_no_window_operator(spark):
     some = spark.range(1000).selectExpr("id % 10 AS login", "id AS ticket", "id % 2 AS cmd", "id % 7 AS time_window")
     plan = planned(trades.busy_users(some, "ticket", 2))

@@ -228,3 +228,21 @@ def test_composed_report_has_one_row_per_login_without_double_counts(frame):
     report = reports.login_report(some, marks, deals, none)
     found = {tuple(r) for r in report.collect()}
     assert (1, 1, 1) in found and (2, None, None) in found and (9, 1, None) in found
+
+
+@pytest.mark.parametrize("rows_per_block", [pairing.BLOCK_ROWS, 7])
+def test_a_pair_of_many_windows_and_both_platforms_is_returned_once(frame, rows, monkeypatch, rows_per_block):
+    monkeypatch.setattr(pairing, "BLOCK_ROWS", rows_per_block)
+    some = [trade(x, x * 1000 + w * 10 + i, x % 2, w * 30) for x in range(1, 7) for w in range(5) for i in range(3)]
+    both = [deal(x, x * 1000 + i, e, 30, x % 2) for x in range(1, 7) for i in range(3) for e in (0, 1)]
+    expected = [(a, b) for a in range(1, 7) for b in range(1, a) if (a - b) % 2]
+    for block in (None, 1, 2):
+        found = trades.suspicious_pairs(frame(some, schemas.TRADE), frame(both, schemas.DEAL), 30, 2, block=block)
+        assert rows(found) == expected
+        assert rows(trades.opposite_pairs(frame(some, schemas.TRADE), "ticket", 30, 2, block=block)) == expected
+
+
+def test_pairs_of_named_members(frame, rows):
+    members = frame([(d, m, c, c) for d in ("x", "y") for m, c in (("b", 1), ("é", 2), ("Z", 1), ("z", None))], "g string, m string, low int, high int")
+    for block in (1, 100):
+        assert rows(pairing.differing_pairs(members, "g", "m", "low", "high", block=block)) == [("é", "Z"), ("é", "b")]
