@@ -78,7 +78,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
                 ids, bounds, data = read_block(blob)
                 gone = covered(data.size, length, replies)
                 rest = data[~gone].tobytes()
-                left = np.concatenate([[0], np.cumsum(~gone)])[bounds]
                 begins = gone.copy()
                 begins[1:] &= ~gone[:-1]
                 ends = gone.copy()
@@ -89,12 +88,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
                 start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
                 at = np.searchsorted(start, bounds)
                 owner = np.searchsorted(bounds, start, "right") - 1
+                removed = np.zeros(ids.size, np.int64)
+                np.add.at(removed, owner, end - start)
+                left = bounds - np.concatenate([[0], np.cumsum(removed)])
                 spans = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([pa.array(start - bounds[owner]), pa.array(end - bounds[owner])], ["start", "end"]))
                 sizes = np.diff(bounds)
                 columns = {
                     "doc_id": ids_to_arrow(ids),
                     "n_bytes": pa.array(sizes),
-                    "n_removed": pa.array(sizes - np.diff(left)),
+                    "n_removed": pa.array(removed),
                     "spans": spans.cast(spans_type),
                     "kept": pa.array([rest[a:b] for a, b in zip(left[:-1].tolist(), left[1:].tolist())], pa.binary()),
                 }

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from millrace.llm.blocks import read_block, with_replies
 from millrace.llm.columns import mix, pack, partitions, unpack
 
-SLICE = 1 << 20  # units worked on at once; a longer document is a slice of its own
+SLICE = 1 << 18  # units worked on at once; a longer document is a slice of its own
 JUDGED = 500_000  # windows sorted at once
 _SENT = "block bigint, bucket int, blob binary"
 
@@ -300,10 +300,16 @@ def _judged_share(units: Units, blocks: np.ndarray, src: np.ndarray, key: np.nda
 
 
 def covered(size: int, width: int, replies: list[dict] | None) -> np.ndarray:
-    """Mask of the block's units that some repeated window covers."""
-    change = np.zeros(size + 1, np.int64)
-    for reply in replies or ():
-        starts, ends = unpack(reply["blob"])
-        np.add.at(change, starts, 1)
-        np.add.at(change, ends + width - 1, -1)
-    return np.cumsum(change[:-1]) > 0
+    """Mask of the block's units that some repeated window covers; it takes a byte per unit, beside the stretches."""
+    mask = np.zeros(size + 1, np.int8)
+    sent = [unpack(reply["blob"]) for reply in replies or ()]
+    if sent:
+        starts, ends = (np.concatenate(x) for x in zip(*sent))
+        order = np.argsort(starts, kind="stable")
+        starts, ends = starts[order], np.maximum.accumulate(ends[order]) + width - 1
+        # Stretches that overlap or touch become one, so that edges are steps of one.
+        new = np.flatnonzero(np.concatenate([[True], starts[1:] > ends[:-1]])[: starts.size])
+        mask[starts[new]] = 1
+        mask[ends[np.append(new[1:], starts.size)[: new.size] - 1]] = -1
+        np.cumsum(mask, dtype=np.int8, out=mask)
+    return mask[:-1].view(bool)

@@ -360,3 +360,20 @@ def test_items_that_share_one_window_are_not_broadcast(spark, monkeypatch):
     monkeypatch.setattr(op7_decontamination, "BROADCAST_BYTES", 1)
     none, rows = found()
     assert rows == expected and none < hints
+
+
+def test_the_mask_of_repeats_takes_about_a_byte_per_unit():
+    """Counters of eight bytes, summed into as many again, made a worker's memory 16 times its block."""
+    import tracemalloc
+
+    from millrace.llm.columns import pack
+    from millrace.llm.repeats import covered
+
+    replies = [{"blob": pack(np.array([5, 100, 7], np.int64), np.array([9, 101, 60], np.int64))}, {"blob": pack(np.array([3_999_949], np.int64), np.array([3_999_951], np.int64))}]
+    tracemalloc.start()
+    mask = covered(4_000_000, 50, replies)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2 * 4_000_000
+    assert np.flatnonzero(mask).tolist() == [*range(5, 150), *range(3_999_949, 4_000_000)]
+    assert not covered(10, 50, None).any() and covered(0, 50, []).size == 0
