@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.columns import table
@@ -24,12 +24,14 @@ GRAM = 5
 # bound a join is an ordinary one, which Spark shuffles and splits by skew.
 BROADCAST_WINDOWS = 200_000
 BROADCAST_BYTES = 32 << 20
-_WORD = r"[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
-_LOWERED = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_BETWEEN = "".join(c for c in map(chr, range(128)) if not c.isalnum())
 
 
-def _words(text: str) -> str:
-    return f"coalesce(regexp_extract_all({_LOWERED.format(text=text)}, '{_WORD}', 0), cast(array() AS array<string>))"
+def _words(text: str) -> Column:
+    """Lower-cased words; A-Z and separators are replaced in one go, which costs less than half of a regular expression."""
+    spaced = F.translate(text, _UPPER + _BETWEEN, _LOWER + " " * len(_BETWEEN))
+    return F.coalesce(F.array_remove(F.split(spaced, " "), ""), F.array().cast("array<string>"))
 
 
 def _fingerprints(rows: DataFrame, window: int, gram: int, lengths: list[int]) -> DataFrame:
@@ -82,7 +84,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     carried = ["row"] if keep else []
     row = [F.struct(*keep).alias("row")] if keep else []
     docs = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("print"), *row)
-    held = items.selectExpr("cast(item_id AS string) AS item", f"{_words('text')} AS words").where("size(words) > 0")
+    held = items.select(F.col("item_id").cast("string").alias("item"), _words("text").alias("words")).where("size(words) > 0")
     sizes = held.select(F.least(F.size("words"), F.lit(window)).alias("n"))
     # At most ``window`` values: the lengths of windows that the items have.
     lengths = sorted(r.n for r in sizes.distinct().collect())
@@ -91,8 +93,8 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     for n in short:
         more = held.where(f"size(words) = {n}").selectExpr("item", "0 AS place", f"{n} AS length", "array_join(words, ' ') AS window")
         sought = more if sought is None else sought.unionByName(more)
-    worded = docs.select("doc_id", "print", F.expr(_words("text")).alias("words"))
-    counted = docs.selectExpr("doc_id", "print", f"size({_words('text')}) AS n_words", *carried)
+    worded = docs.select("doc_id", "print", _words("text").alias("words"))
+    counted = docs.select("doc_id", "print", F.size(_words("text")).alias("n_words"), *carried)
     if sought is None:
         none = F.lit(0).cast("bigint")
         return counted.select("doc_id", F.col("n_words").cast("bigint").alias("n_words"), none.alias("n_hit"), none.alias("n_items"), F.array().cast("array<string>").alias("item_ids"), *carried)
@@ -112,7 +114,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     own = _fingerprints(worded, window, gram, lengths).select("doc_id", F.explode_outer("prints").alias("p"))
     found = own.join(sent_prints(wanted), "p", "left_semi").select("doc_id")
     suspects = found.distinct().withColumnRenamed("doc_id", "suspect")
-    near = docs.join(suspects, F.col("doc_id").eqNullSafe(F.col("suspect")), "left_semi").select("doc_id", "print", F.expr(_words("text")).alias("words"))
+    near = docs.join(suspects, F.col("doc_id").eqNullSafe(F.col("suspect")), "left_semi").select("doc_id", "print", _words("text").alias("words"))
     hits = _windows(near, lengths, "doc_id", "print").join(sent(distinct), ["length", "window"])
     hits = stored(hits, "hits")
     # One row per document, place and window; a place is counted once however many windows cover it.

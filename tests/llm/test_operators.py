@@ -1,4 +1,5 @@
 import hashlib
+import re
 import sys
 import zlib
 from pathlib import Path
@@ -377,3 +378,17 @@ def test_the_mask_of_repeats_takes_about_a_byte_per_unit():
     assert peak < 2 * 4_000_000
     assert np.flatnonzero(mask).tolist() == [*range(5, 150), *range(3_999_949, 4_000_000)]
     assert not covered(10, 50, None).any() and covered(0, 50, []).size == 0
+
+
+def test_benchmark_words_are_split_without_regular_expressions(spark, frame):
+    """Two of the three passes over the texts spent most of their time in them."""
+    marks = "".join(map(chr, range(128))) * 2 + "ÄÖ É\u0085ß\u2028x\u3000Y\x00z" + "A1 b2  C3"
+    texts = [marks, marks[::-1], "", " ", "\n\t", None, "a", "A.b", "x Y"]
+    docs = frame(list(enumerate(texts)), "doc_id bigint, text string")
+    lowered = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    expected = [re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").translate(lowered)) for t in texts]
+    found = docs.select("doc_id", op7_decontamination._words("text").alias("w")).orderBy("doc_id").collect()
+    assert [r.w for r in found] == expected
+    result = op7_decontamination.contamination(docs, frame([("i", "a b")], "item_id string, text string"))
+    assert "regexp" not in result._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.n_words, r.n_hit) for r in result.orderBy("doc_id").collect()][4:] == [(0, 0), (0, 0), (1, 0), (2, 2), (1, 0)]
