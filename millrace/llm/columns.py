@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import gc
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +38,29 @@ def col(name: str, of: str | None = None) -> Column:
     return F.col(f"{of}.{quoted}" if of else quoted)
 
 
+_KEPT: list = []
+
+
+def kept_in_worker(make: Callable) -> Callable:
+    """``functools.cache`` for what a worker process keeps from task to task, until a step calls ``let_go``."""
+    made = cache(make)
+    _KEPT.append(made)
+    return made
+
+
+def let_go() -> None:
+    """Free what steps before keep in this worker process, such as tokenizers and stored words.
+
+    Spark runs the tasks of all steps in the same worker processes. A step that needs none of it so has
+    their memory; one that needs it again makes it anew.
+    """
+    if any(made.cache_info().currsize for made in _KEPT):
+        for made in _KEPT:
+            made.cache_clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -19,7 +19,6 @@ import json
 import os
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -29,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import with_replies
-from millrace.llm.columns import id_and_text, ids_to_arrow, mix, pack, partitions, rows_by_size, table, unpack
+from millrace.llm.columns import bound_batches, id_and_text, ids_to_arrow, kept_in_worker, let_go, mix, pack, partitions, rows_by_size, table, unpack
 from millrace.plans.scratch import stored
 
 TOKENIZER_A = "byte_bpe_50k.json"
@@ -40,6 +39,7 @@ SEGMENT = 1 << 16  # characters of a text aligned together, if it has a place to
 JOINED = 500  # units encoded as one string
 STORED_UNITS = 1_000_000  # units kept with their ids per worker process
 BLOCK_LINKS = 1 << 22  # links whose id pairs are combined before they are sent
+SUMMED = 1 << 18  # links of whole documents summed at a time
 
 # A single space between two characters that are not white space begins a new unit for both kinds of tokenizers:
 # what lies before it is encoded as if nothing followed. Limited to characters about which all libraries agree.
@@ -276,12 +276,24 @@ class Pair:
         return b"".join(map(shown.__getitem__, order.tolist()))[:-1]
 
 
-@cache
+@kept_in_worker
 def tokenizer_pair(path_a: str, path_b: str) -> Pair:
     """One pair per worker process and files."""
     return Pair(path_a, path_b)
 
 
+def _sums(values: np.ndarray, place: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Per document the sum of values[place] over its links, bounds[i] to bounds[i + 1]; some documents at a time."""
+    out = np.zeros(bounds.size - 1, np.int64)
+    begin = 0
+    while begin < out.size:
+        end = max(begin + 1, int(np.searchsorted(bounds, bounds[begin] + SUMMED, "right")) - 1)
+        own = np.cumsum(values[place[bounds[begin] : bounds[end]]], dtype=np.int64)
+        out[begin:end] = np.diff(np.concatenate([[0], own])[bounds[begin : end + 1] - bounds[begin]])
+        begin = end
+    return out
+
+
 def alignments(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     """doc_id, ids_a, ids_b, last_a, last_b per document: ids, and the index of each group's last token in both.
 
@@ -357,6 +369,7 @@ def _totals(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
     A bucket holds the distinct pairs of a share of the hash range, each once per block, so a pair that
     holds a third of all links weighs as much as any other.
     """
+    let_go()
     blocks = group.column("block").to_pylist()
     parts = [unpack(x) for x in group.column("blob").to_pylist()]
     pairs, place = np.unique(np.concatenate([p for p, _ in parts]), return_inverse=True)
@@ -395,6 +408,7 @@ def link_statistics(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     text is aligned in segments, so of a long one a task holds the text and its links besides one segment.
     """
     spark = docs.sparkSession
+    bound_batches(spark)  # a batch is whole rows, and the rows of the last step are blocks with all their answers
     buckets = partitions(spark)
     blocks = stored(_linked(docs, path_a, path_b, buckets), "links")
     asked = blocks.where("bucket >= 0")
@@ -402,6 +416,7 @@ def link_statistics(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
     shared = spark.sparkContext.broadcast(_highest(answers, _entries(path_b)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         highest = shared.value
         for batch in batches:
             for blob, replies in zip(batch.column("blob").to_pylist(), batch.column("replies").to_pylist()):
@@ -412,7 +427,7 @@ def link_statistics(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
                 totals = np.concatenate([np.zeros(0, np.int64), *(c for _, c in known)])[order]
                 best = totals == highest[(pairs[order] & np.uint64(0xFFFFFFFF)).astype(np.int64)]
                 bounds = np.concatenate([[0], np.cumsum(sizes)])
-                sums = [np.diff(np.concatenate([[0], np.cumsum(x[place])])[bounds]) for x in (best.astype(np.int64), totals)]
+                sums = [_sums(x, place, bounds) for x in (best, totals)]
                 texts = [digests[32 * i : 32 * i + 32].tobytes().hex() if sizes[i] else "" for i in range(sizes.size)]
                 yield pa.record_batch(
                     [ids_to_arrow(doc_ids), *(pa.array(x) for x in (n_a, n_b, sizes, sizes, *sums)), pa.array(texts, pa.string())],

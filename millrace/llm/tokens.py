@@ -5,11 +5,11 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 
+from millrace.llm.columns import kept_in_worker
 from millrace.llm.words import word_hashes, words_of
 
 # Words kept per worker process; when full the store starts anew, so memory stays bounded.
@@ -160,7 +160,7 @@ class WordTokenizer:
         return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:])]
 
 
-@cache
+@kept_in_worker
 def word_tokenizer(path: str) -> WordTokenizer:
     """One tokenizer, with its stored words, per worker process and file."""
     return WordTokenizer(path)
