@@ -6,7 +6,8 @@ shingle among their first ones (their prefixes). Steps:
 1. Profile: every document's set is reduced to a signature, and frequencies are counted in a table of
    fixed size. Documents with equal sets are one *set* from here on.
 2. Sets with one prefix and size form a group. Prefix shingles go to buckets with their group; a bucket
-   keeps the lists of shingles that several groups hold.
+   keeps the lists of shingles that several groups hold, and in a list the groups for which the shingle can be the
+   first that they share with another one of it.
    Shingles with one and the same list count as one list.
 3. Group pairs that pass the size and place filters are expanded to sets and verified exactly. First
    each group only with the neighbour in its lists that it shares most shingles with, and the sets of a
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, StructField, StructType
 
 from millrace.llm.blocks import read_block, read_extra, store_blocks, with_replies
-from millrace.llm.columns import bound_batches, col, id_and_text, ids_to_arrow, mix, pack, partitions, table, unpack
+from millrace.llm.columns import bound_batches, col, id_and_text, ids_to_arrow, let_go, mix, pack, partitions, table, unpack
 from millrace.llm.components import components
 from millrace.llm.repeats import slices
 from millrace.llm.words import ngram_hashes, words_of
@@ -48,7 +49,8 @@ _ORDERS = 4
 _NEIGHBOURS = 4
 _WORTHWHILE = 50
 _PARTS = 16
-# 64-bit words of the parity sketch that is carried with every list entry, however long its document.
+# 64-bit words of the parity sketch that is carried with every list entry, however long its document: at most
+# these, and at most a cell per item. What passes it meets the whole sketch next.
 _CARRIED = 64
 
 
@@ -86,6 +88,11 @@ def parity_sketch(items: np.ndarray, most: int | None = None) -> np.ndarray:
     return words
 
 
+def carried_sketch(items: np.ndarray) -> np.ndarray:
+    """The sketch that goes with every list entry: at most a cell per item, and at most _CARRIED words."""
+    return parity_sketch(items, min(_CARRIED, max(1, items.size // 64)))
+
+
 def least_hashes(items: np.ndarray) -> list[int]:
     """Under each of several hashes the least of the set's; two sets agree in one as often as they are similar."""
     return [int(mix(items ^ np.uint64(seed)).min().view(np.int64)) for seed in range(1, _ORDERS + 1)]
@@ -154,6 +161,28 @@ def _frequencies(profiles: DataFrame) -> np.ndarray:
     return out
 
 
+def _may_lead(token: np.ndarray, sizes: np.ndarray, place: np.ndarray, percent: int) -> np.ndarray:
+    """Entries whose shingle can be the first that they share with another entry of its list (see ``_first_shared``).
+
+    Entries ascend by shingle and size. An entry at (n, place) needs another one in its list of a size from
+    percent * n / 100 to what the items behind its place leave room for. An entry of a pair that is similar
+    enough stays in the list of the first shingle the pair shares, as each of the two is what the other needs.
+    If it stays in a list it does so in that of every earlier shingle with the same list.
+    """
+    lists = np.cumsum(np.concatenate([[False], token[1:] != token[:-1]]))
+    span = int(sizes.max(initial=0)) + 2
+    low = -(-percent * sizes // 100)
+    high = np.clip(np.minimum(100 * sizes // percent, (100 + percent) * (sizes - place) // percent - sizes), 0, span - 1)
+    stay = np.arange(token.size)
+    for _ in range(2):  # again without those that went
+        held = lists[stay] * span + sizes[stay]
+        found = np.searchsorted(held, lists[stay] * span + high[stay], "right") - np.searchsorted(held, lists[stay] * span + low[stay], "left")
+        stay = stay[found > (sizes[stay] <= high[stay])]
+    out = np.zeros(token.size, bool)
+    out[stay] = True
+    return out
+
+
 def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) -> DataFrame:
     """Shared prefix shingles: (token, grp, n, place, before, before_n, before_place, whole) and (grp, sig) rows.
 
@@ -233,6 +262,9 @@ def _prefix_lists(blocks: DataFrame, ranks: np.ndarray, n: int, percent: int) ->
             starts = np.flatnonzero(first)
             whole = np.add.reduceat(mix(ids.view(np.uint64)), starts) if token.size else token
             whole = np.repeat(mix(whole), np.diff(np.concatenate([starts, [token.size]]))).view(np.int64) if token.size else token.view(np.int64)
+            stay = _may_lead(token, sizes, place, percent)
+            token, ids, sizes, place, whole = token[stay], ids[stay], sizes[stay], place[stay], whole[stay]
+            first = np.concatenate([[True], token[1:] != token[:-1]])[: token.size]
             before = [pa.array(np.roll(x, 1), pa.int64(), mask=first) for x in (ids, sizes, place)]
             columns.append([pa.array(token.view(np.int64)), pa.array(ids), pa.array(sizes), pa.array(place), *before, pa.array(whole), pa.nulls(token.size, pa.int64())])
         if members:
@@ -256,10 +288,11 @@ def _sets(blocks: DataFrame, wanted: DataFrame, n: int, sketched: bool) -> DataF
             if sketched:
                 columns.append(pa.array([items.size for _, items in sets], pa.int64()))
                 columns.append(pa.array([least_hashes(items) for _, items in sets], kind))
-                columns.append(pa.array([parity_sketch(items, _CARRIED) for _, items in sets], kind))
+                columns.append(pa.array([carried_sketch(items) for _, items in sets], kind))
             columns.append(pa.array([parity_sketch(items) if sketched else items.view(np.int64) for _, items in sets], kind))
             return pa.record_batch(columns, names)
 
+        let_go()
         for batch in batches:
             for blob, replies in zip(batch.column("texts").to_pylist(), batch.column("replies").to_pylist()):
                 ids, bounds, data = read_block(blob)
