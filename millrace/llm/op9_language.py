@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from millrace.llm.columns import bound_batches, col, pack, table, unpack
+from millrace.llm.columns import bound_batches, col, let_go, pack, table, unpack
 
 # Texts per language that fitting reads, whole, whatever the table's size. Prediction reads all texts, whole.
 SAMPLE = 400
@@ -239,6 +239,7 @@ def predict(docs: DataFrame, model: Model, keep: list[str] | None = None) -> Dat
     shared = spark.sparkContext.broadcast(model)  # its size is fixed by the landmarks
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         scorer = Scorer(shared.value) if shared.value.languages else None
         names = np.array([*shared.value.languages, "und"])
         for batch in batches:

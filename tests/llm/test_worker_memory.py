@@ -4,8 +4,8 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-from millrace.llm import op13_alignment
-from millrace.llm.columns import BATCH_BYTES, pack, unpack
+from millrace.llm import op13_alignment, tokens
+from millrace.llm.columns import BATCH_BYTES, let_go, pack, unpack
 from millrace.session import ship_package
 
 
@@ -41,3 +41,10 @@ def test_sums_by_parts_equal_sums_at_once(monkeypatch):
     for x in (values, values % 2 == 0):
         assert op13_alignment._sums(x, place, bounds).tolist() == [int(x[place[a:b]].sum()) for a, b in zip(bounds[:-1], bounds[1:])]
     assert op13_alignment._sums(values, place[:0], np.zeros(1, np.int64)).tolist() == []
+
+
+def test_steps_free_stored_words_of_steps_before():
+    tokens.word_tokenizer(public_tokenizers.path("word_bpe_49k.json")).encode_many([b"some words"])
+    assert tokens.word_tokenizer.cache_info().currsize
+    let_go()
+    assert not tokens.word_tokenizer.cache_info().currsize
