@@ -27,21 +27,37 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
     return out.where("u <> v").distinct()
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """(node, root) for each node of ``edges`` (u, v: bigint); root is the least node it is connected with.
+def _settled(pairs: DataFrame) -> bool:
+    """Whether every node is linked with one smaller node, which is linked with no smaller one: stars around least nodes.
+
+    A node's links are counted where they are read, so a node with very many is one row of each task.
+    """
+    ends = pairs.selectExpr("u AS n", "1 AS up", "0 AS down").unionByName(pairs.selectExpr("v AS n", "0 AS up", "1 AS down"))
+    nodes = ends.groupBy("n").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.agg(F.bool_or(F.expr("up > 1 OR up > 0 AND down > 0"))).first()[0]
+
+
+def stars(edges: DataFrame) -> DataFrame:
+    """(u, v): each node of ``edges`` (u, v: bigint) but the least of its component, with that least one.
 
     Loops, repeated edges and nulls are ignored. Every round is written to the shared folder, so lineage
     stays short, and the round before is removed. Rounds grow with the logarithm of a component's diameter, not with its size.
+    What is stars already takes no round. The result is stored; see ``freed``.
     """
-    pairs = stored(edges.select("u", "v").where("u <> v").distinct(), "edges")
-    state = None
-    while True:
+    pairs = stored(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+    while not _settled(pairs):
         before, pairs = pairs, stored(_star(_star(pairs, True), False), "edges")
         freed(before)
-        now = pairs.agg(F.count("*"), F.sum(F.hash("u", "v").cast("bigint")), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if now == state:
-            break
-        state = now
+    return pairs
+
+
+def rooted(pairs: DataFrame) -> DataFrame:
+    """(node, root) for each node of ``stars``; a root is its own."""
     return pairs.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
         pairs.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     )
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """(node, root) for each node of ``edges`` (u, v: bigint); root is the least node it is connected with."""
+    return rooted(stars(edges))

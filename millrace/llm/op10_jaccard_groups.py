@@ -33,7 +33,7 @@ from pyspark.sql.types import BinaryType, StructField, StructType
 
 from millrace.llm.blocks import read_block, read_extra, store_blocks, with_replies
 from millrace.llm.columns import bound_batches, col, id_and_text, ids_to_arrow, let_go, mix, pack, partitions, table, unpack
-from millrace.llm.components import components
+from millrace.llm.components import rooted, stars
 from millrace.llm.repeats import slices
 from millrace.llm.words import ngram_hashes, words_of
 from millrace.plans.scratch import freed, stored
@@ -473,36 +473,44 @@ def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
     entries = stored(entries, "entries")
     freed(links, lists)  # all that reads them is stored
 
-    def apart(found: DataFrame, turn: int) -> DataFrame:
+    def apart(turn: int) -> DataFrame:
         """Entries of lists that hold sets of several components, with their components and a least hash to order by.
 
         Which of its least hashes goes by the list and the turn, so that a set meets other neighbours in each of its lists.
         """
-        roots = components(found).select(F.col("node"), "root")
         near = sketches.select(F.col("sig").alias("of"), F.col("near").alias("hashes"))
-        held = entries.join(roots, F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "place", F.coalesce("root", "sig").alias("root"))
+        held = entries.join(rooted(links), F.col("sig") == F.col("node"), "left").select("token", "sig", "n", "place", F.coalesce("root", "sig").alias("root"))
         mixed = held.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
         both = held.join(mixed, "token", "left_semi").join(near, F.col("sig") == F.col("of"))
         return stored(both.selectExpr("token", "sig", "n", "place", "root", f"hashes[CAST(pmod(token + {turn}, {_ORDERS}) AS INT)] AS near"), "mixed")
 
+    def joined(links: DataFrame, more: DataFrame) -> DataFrame:
+        """Stars of both: what ``links`` holds are stars already, so only what ``more`` connects takes rounds."""
+        made = stars(links.unionByName(more))
+        freed(links, more)
+        return made
+
     possible = _possible("n", "place", "other.n", "other.place", percent)
-    links = first
+    links = stars(first)
+    freed(first)
     turn = 0
     while True:
-        mixed = apart(links, turn)
+        mixed = apart(turn)
         window = f"OVER (PARTITION BY token ORDER BY near, xxhash64(sig, token, {turn}), sig)"
         others = ", ".join(f"lag(struct(sig, n, place, root), {i}) {window}" for i in range(1, _NEIGHBOURS + 1))
         near = mixed.selectExpr("*", f"array({others}) AS others").select("sig", "n", "place", "root", F.explode("others").alias("other"))
         near = near.where("root <> other.root AND " + possible).select(F.least("sig", "other.sig").alias("u"), F.greatest("sig", "other.sig").alias("v")).distinct()
         more = _verified(admitted(near), blocks, where, n, percent)
-        links = links.unionByName(more)
         turn += 1
-        # A turn that links few of what it has seen is the last. Each but the last so takes a share of the components.
-        if more.count() * _WORTHWHILE <= mixed.count():
+        new, seen = more.count(), mixed.count()
+        if not new:  # components and mixed lists are what they were
             break
+        links = joined(links, more)
         freed(mixed)
-    freed(mixed)
-    mixed = apart(links, turn)
+        # A turn that links few of what it has seen is the last. Each but the last so takes a share of the components.
+        if new * _WORTHWHILE <= seen:
+            mixed = apart(turn)
+            break
     possible = _possible("n", "place", "other_n", "other_place", percent)
 
     # Then: all candidates in different components.
@@ -512,9 +520,10 @@ def _classed(blocks: DataFrame, n: int, percent: int) -> DataFrame:
     pairs = left.join(other, "token").where(f"root < other_root AND {may}")
     last = _verified(admitted(pairs.select(F.col("sig").alias("u"), "v").distinct()), blocks, where, n, percent)
     freed(mixed, entries, sketches)
-    final = components(links.unionByName(last))
+    if not last.isEmpty():
+        links = joined(links, last)
 
-    return rows.join(final, F.col("sig") == F.col("node"), "left").select("block", "doc", "doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
+    return rows.join(rooted(links), F.col("sig") == F.col("node"), "left").select("block", "doc", "doc_id", "n", "sig", F.coalesce("root", "sig").alias("root"))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

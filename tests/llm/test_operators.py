@@ -27,6 +27,7 @@ from millrace.llm import (  # noqa: E402
     op10_jaccard_groups,
 )
 from millrace.llm.columns import pack, unpack  # noqa: E402
+from millrace.llm import components as stars_of  # noqa: E402
 from millrace.llm.components import components  # noqa: E402
 from millrace.llm.repeats import leftmost_minimum  # noqa: E402
 from millrace.llm.tokens import WordTokenizer  # noqa: E402
@@ -334,6 +335,33 @@ def test_components_of_chains_and_stars(spark):
     assert got == {**dict.fromkeys(range(21), 0), **dict.fromkeys(range(100, 140), 100), 199: 199, 200: 199}
 
 
+def test_stars_take_no_round_and_a_chain_few(spark, monkeypatch):
+    star, taken = stars_of._star, []
+    monkeypatch.setattr(stars_of, "_star", lambda pairs, large: taken.append(large) or star(pairs, large))
+
+    def found(edges):
+        taken.clear()
+        got = components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()
+        assert len(got) == len(set(got))
+        return dict(map(tuple, got)), len(taken)
+
+    assert found([(5, i) for i in range(6, 30)] + [(2, 1), (None, 5)]) == ({**dict.fromkeys(range(5, 30), 5), 1: 1, 2: 1}, 0)
+    assert found([(1, 1), (None, None), (3, None)]) == ({}, 0)
+    assert found([(3, 2), (3, 1)]) == ({1: 1, 2: 1, 3: 1}, 2)
+    assert found([(1, 2), (2, 3)]) == ({1: 1, 2: 1, 3: 1}, 2)
+
+
+def test_turns_that_link_nothing_make_no_new_components(spark, monkeypatch):
+    made, of = [], op10_jaccard_groups.stars
+    monkeypatch.setattr(op10_jaccard_groups, "stars", lambda edges: made.append(1) or of(edges))
+    base = [f"w{i}" for i in range(60)]
+    near, other = [*base[:59], "x"], [f"v{i}" for i in range(40)]
+    docs = spark.createDataFrame([(1, " ".join(base)), (2, " ".join(near)), (3, " ".join(other)), (4, None)], "doc_id bigint, text string")
+    got = {r.doc_id: r.component_id for r in op10_jaccard_groups.jaccard_classes(docs).collect()}
+    assert got == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert len(made) == 1
+
+
 def test_leftmost_minimum_and_packing_of_arrays():
     values = np.random.default_rng(3).integers(0, 4, 200).astype(np.uint64)
     for width in (1, 2, 7, 25):
