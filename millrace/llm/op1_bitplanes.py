@@ -249,12 +249,16 @@ def token_digests(spark: SparkSession, file: TokenFile) -> DataFrame:
     document of any length needs no gathering of its ids.
     """
 
-    @F.udf("bigint")
-    def chained(parts):  # a row per document and block, a handful at most for ordinary documents
-        crc = 0
-        for part in sorted(parts, key=lambda p: p.place):
-            crc = crc32_joined(crc, part.crc, 4 * part.length)
-        return crc
+    def chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            crc = batch.column("one").to_numpy(zero_copy_only=False).copy()
+            many = np.flatnonzero(batch.column("n_pieces").to_numpy(zero_copy_only=False) > 1)
+            for i, parts in zip(many.tolist(), batch.column("parts").take(pa.array(many)).to_pylist()):  # a part per block, a handful at most for ordinary documents
+                whole = 0
+                for part in sorted(parts, key=lambda p: p["place"]):
+                    whole = crc32_joined(whole, part["crc"], 4 * part["length"])
+                crc[i] = whole
+            yield pa.record_batch([batch.column("doc_id"), batch.column("start"), batch.column("n_tokens"), pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
     pieces = read_tokens(spark, file).withColumn("crc", F.crc32("ids")).drop("ids")
     whole = (
@@ -267,8 +271,8 @@ def token_digests(spark: SparkSession, file: TokenFile) -> DataFrame:
             F.collect_list(F.struct("place", "length", "crc")).alias("parts"),
         )
     )
-    crc = F.when(F.col("n_pieces") == 1, F.col("one")).otherwise(chained(F.when(F.col("n_pieces") > 1, F.col("parts")).otherwise(F.array().cast("array<struct<place:bigint,length:bigint,crc:bigint>>"))))
-    return whole.select("doc_id", "start", "n_tokens", crc.alias("ids_crc32"))
+    parts = F.when(F.col("n_pieces") > 1, F.col("parts")).alias("parts")
+    return whole.select("doc_id", "start", "n_tokens", "n_pieces", "one", parts).mapInArrow(chained, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,21 +5,27 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
 from millrace.llm.columns import kept_in_worker
-from millrace.llm.words import word_hashes, words_of
+from millrace.llm.words import joined, two_word_hashes, word_spans
 
 # Words kept per worker process; when full the store starts anew, so memory stays bounded.
 STORED_WORDS = 700_000
 
 # The word pattern of the tokenizer file, with the letters and digits among the first 256 code points
-# written out: its classes \p{L}, \p{N} and \s. Fixed values.
+# written out: its classes \p{L}, \p{N} and \s. Fixed values. Words are matched many at a time, a line each; a line
+# break is a piece of its own.
 _LETTERS = "a-zªµºß-öø-ÿ"
 _NUMBERS = "0-9²³¹¼½¾"
-_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+")
+_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+|\n")
+_WIDE = re.compile("[^\x00-\xff]")
+_BREAK = (1 << 32) - 1
+# Words encoded at once.
+_WORDS = 1 << 15
 
 # The settings of a tokenizer file that the pattern above and the splitting at white space stand for. Fixed values.
 _KNOWN = {
@@ -72,52 +78,56 @@ class WordTokenizer:
             and not any(t.lstrip or t.rstrip or t.single_word or t.normalized or t.content.split() != [t.content] for t in added)
         )
         self.special = re.compile("|".join(re.escape(t.content) for t in added) or r"(?!)")
-        self.letters = _byte_letters()
+        letters = _byte_letters()
+        self.shown = np.array([letters.get(b, b) if b != 10 else b for b in range(256)], "<u2")
         self.dtype = np.dtype(np.uint16 if self.tokenizer.get_vocab_size() <= 1 << 16 else np.uint32)
         self._reset()
 
     def _reset(self) -> None:
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[str, tuple[int, ...]] = {"\n": (_BREAK,)}
         self.keys = np.zeros(0, np.uint64)
         self.checks = np.zeros(0, np.uint64)
         self.begins = np.zeros(0, np.int64)
         self.sizes = np.zeros(0, np.int64)
         self.ids = np.zeros(0, self.dtype)
 
-    def _encode_word(self, word: str) -> list[int]:
-        try:
-            word.encode("latin-1")
-        except UnicodeEncodeError:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        if self.special.search(word):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in _PIECES.findall(word.lower()):
-            ids = self.pieces.get(piece)
-            if ids is None:
-                shown = piece if piece.isascii() else piece.encode().decode("latin-1")
-                if not (shown.isascii() and shown.isprintable()):
-                    shown = shown.translate(self.letters)
-                ids = self.pieces[piece] = tuple(t.id for t in self.model.tokenize(shown))
-            out += ids
-        return out
-
-    def _add(self, keys: np.ndarray, checks: np.ndarray, words: list[str]) -> None:
+    def _encode_words(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all words in order, how many each word has)."""
+        lines = b"\n".join(words).decode()
+        whole: dict[int, list[int]] = {}
+        if _WIDE.search(lines) or self.special.search(lines):
+            each = lines.split("\n")
+            whole = {i: self.tokenizer.encode(w, add_special_tokens=False).ids for i, w in enumerate(each) if _WIDE.search(w) or self.special.search(w)}
+            lines = "\n".join(["" if i in whole else w for i, w in enumerate(each)])
+        pieces = _PIECES.findall(lines.lower())
+        if new := list(set(pieces) - self.pieces.keys()):
+            shown = self.shown[np.frombuffer("\n".join(new).encode(), np.uint8)].tobytes().decode("utf-16-le")
+            tokenize = self.model.tokenize
+            for piece, text in zip(new, shown.split("\n")):
+                self.pieces[piece] = tuple([t.id for t in tokenize(text)])
+        flat = np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, pieces)), np.uint32)
+        breaks = flat == _BREAK
+        sizes = np.diff(np.flatnonzero(breaks), prepend=-1, append=flat.size) - 1
+        flat = flat[~breaks]
+        if whole:
+            at = np.array(list(whole))
+            more = np.array([len(ids) for ids in whole.values()])
+            flat = np.insert(flat, np.repeat((np.cumsum(sizes) - sizes)[at], more), np.fromiter(chain.from_iterable(whole.values()), np.uint32))
+            sizes[at] = more
+        return flat.astype(self.dtype), sizes
+
+    def _add(self, keys: np.ndarray, checks: np.ndarray, words: list[bytes]) -> None:
         if self.keys.size + len(words) > STORED_WORDS:
             self._reset()
-        flat: list[int] = []
-        sizes = np.zeros(len(words), np.int64)
-        for i, word in enumerate(words):
-            ids = self._encode_word(word)
-            sizes[i] = len(ids)
-            flat += ids
+        made = [self._encode_words(words[i : i + _WORDS]) for i in range(0, len(words), _WORDS)]
+        sizes = np.concatenate([x for _, x in made])
         begins = self.ids.size + np.cumsum(sizes) - sizes
         order = np.argsort(all_keys := np.concatenate([self.keys, keys]), kind="stable")
         self.keys = all_keys[order]
         self.checks = np.concatenate([self.checks, checks])[order]
         self.begins = np.concatenate([self.begins, begins])[order]
         self.sizes = np.concatenate([self.sizes, sizes])[order]
-        self.ids = np.concatenate([self.ids, np.array(flat, self.dtype)])
+        self.ids = np.concatenate([self.ids, *(x for x, _ in made)])
 
     def _find(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(place, whether it is the word there)."""
@@ -134,8 +144,10 @@ class WordTokenizer:
                 some = [x.decode() for x in texts[at : at + _TEXTS]]
                 found += (np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch(some, add_special_tokens=False))
             return found
-        data, starts, ends, keys, bounds = words_of(texts)
-        checks = word_hashes(data, starts, ends, radix=1)
+        data, begins = joined(texts)
+        starts, ends = word_spans(data)
+        bounds = np.searchsorted(starts, begins)
+        keys, checks = two_word_hashes(data, starts, ends)
         keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
         checks_of = checks[first]
         if not np.array_equal(checks_of[back], checks):
@@ -143,12 +155,10 @@ class WordTokenizer:
         at, found = self._find(keys, checks_of)
         if not found.all():
             new = np.flatnonzero(~found)
-            raw = data.tobytes()
-            words = [raw[starts[i] : ends[i]].decode() for i in first[new]]
-            full = self.keys.size + len(words) > STORED_WORDS
-            if full:  # the store starts anew with this slice's words
+            if self.keys.size + new.size > STORED_WORDS:  # the store starts anew with this slice's words
                 new = np.arange(keys.size)
-                words = [raw[starts[i] : ends[i]].decode() for i in first]
+            raw = data.tobytes()
+            words = [raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
             self._add(keys[new], checks_of[new], words)
             at, found = self._find(keys, checks_of)
             if not found.all():

@@ -4,7 +4,7 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-from millrace.llm import op13_alignment, tokens
+from millrace.llm import op13_alignment, tokens, words
 from millrace.llm.columns import BATCH_BYTES, let_go, pack, unpack
 from millrace.session import ship_package
 
@@ -48,3 +48,26 @@ def test_steps_free_stored_words_of_steps_before():
     assert tokens.word_tokenizer.cache_info().currsize
     let_go()
     assert not tokens.word_tokenizer.cache_info().currsize
+
+
+def test_each_new_piece_is_encoded_once_for_all_words_of_a_slice(monkeypatch):
+    tokenizer = tokens.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    encode = tokenizer.tokenizer.encode
+    monkeypatch.setattr(tokens, "_WORDS", 5)
+    some = ["Straße", "can't", "wide\u4e2d\u6587", "\xa0", "\x85\xad", "'s", "\u0130x", "12a", "a\x00b", "\x1c", "\u212b", "end</s>", "x" * 300, "d\xc9j\xc0", "\u4e2d", "''re"]
+    some += [t.content for t in tokenizer.tokenizer.get_added_tokens_decoder().values()]
+    flat, sizes = tokenizer._encode_words([w.encode() for w in some])
+    expected = [encode(w, add_special_tokens=False).ids for w in some]
+    assert sizes.tolist() == [len(x) for x in expected]
+    assert flat.tolist() == [i for x in expected for i in x]
+    texts = [" ".join(some), "", "\n", " ".join(some[::-1]), "a\tb  c"]
+    assert [x.tolist() for x in tokenizer.encode_many([t.encode() for t in texts])] == [encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_both_word_hashes_equal_those_alone(monkeypatch):
+    monkeypatch.setattr(words, "_AT_ONCE", 3)
+    data, _ = words.joined([b"one three", b"", b"a bc def ghij klmno", b"\xc3\xa9 x"])
+    starts, ends = words.word_spans(data)
+    both = words.two_word_hashes(data, starts, ends)
+    assert [x.tolist() for x in both] == [words.word_hashes(data, starts, ends, radix=k).tolist() for k in (0, 1)]
+    assert [x.size for x in words.two_word_hashes(data[:0], starts[:0], ends[:0])] == [0, 0]
