@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.columns import ids_of, let_go, pack, partitions, unpack
+from millrace.llm.columns import ids_of, lean, pack, partitions, unpack
 from millrace.plans.scratch import new_dir
 
 # Text in one block; a longer document is a block of its own.
@@ -28,7 +28,6 @@ def store_blocks(docs: DataFrame, keep: list[str], size: int = BLOCK_BYTES) -> D
     spark = docs.sparkSession
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        let_go()
         number = TaskContext.get().partitionId() << 32
         held: list[pa.RecordBatch] = []
         total = 0
@@ -66,7 +65,7 @@ def store_blocks(docs: DataFrame, keep: list[str], size: int = BLOCK_BYTES) -> D
     name = f"millrace_blocks_{uuid.uuid4().hex}"
     (
         docs.select("doc_id", "text", *[c for c in keep if c not in ("doc_id", "text")])
-        .mapInArrow(fill, "block bigint, texts binary, extra binary")
+        .mapInArrow(lean(fill), "block bigint, texts binary, extra binary")
         .write.bucketBy(partitions(spark), "block")
         .option("path", new_dir(spark, "blocks"))
         .option("compression", "none")

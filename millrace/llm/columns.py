@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import cache, wraps
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ NULL_ID = np.iinfo(np.int64).max
 
 # Bytes of one batch between Spark and a Python worker. Each batch exists several times at once (Arrow in the executor and
 # in the worker, Python values, results), so Spark's default of 64 MB costs a task several hundred.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -59,6 +60,46 @@ def let_go() -> None:
             made.cache_clear()
         gc.collect()
     pa.default_memory_pool().release_unused()
+    give_back()
+
+
+try:
+    # What numpy has freed stays with the process until the C library (glibc) is asked for it.
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError, TypeError):
+    _trim = None
+
+
+def give_back() -> None:
+    """Hand memory that this process has freed back to the system."""
+    if _trim:
+        _trim(0)
+
+
+def lean(step: Callable) -> Callable:
+    """A step over batches that needs nothing kept in the worker: it begins without that and leaves no freed memory behind."""
+
+    @wraps(step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
+        yield from step(batches)
+        let_go()
+
+    return run
+
+
+def lean_group(step: Callable) -> Callable:
+    """``lean`` for a step over groups."""
+
+    @wraps(step)
+    def run(group: pa.Table) -> pa.Table:
+        let_go()
+        try:
+            return step(group)
+        finally:
+            let_go()
+
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -24,10 +24,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import read_block, read_extra, store_blocks, with_replies
-from millrace.llm.columns import id_and_text, ids_to_arrow, mix, table
+from millrace.llm.columns import id_and_text, ids_to_arrow, lean, mix, table
 from millrace.llm.repeats import Units, covered, find_repeats
 
 LENGTH = 50
+ROWS_BYTES = 1 << 20
+# Text in one block: its anchors and runs take about twelve times this in a worker.
+BLOCK = 4 << 20
 
 
 def _doubled(data: np.ndarray, gram: int) -> np.ndarray:
@@ -69,7 +72,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
     if keep:
         plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.struct(*keep).alias("row"))
     units = byte_units(length)
-    blocks = store_blocks(plain, ["row"] if keep else [])
+    blocks = store_blocks(plain, ["row"] if keep else [], BLOCK)
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -77,7 +80,6 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
             for blob, extra, replies in zip(*(batch.column(c).to_pylist() for c in ("texts", "extra", "replies"))):
                 ids, bounds, data = read_block(blob)
                 gone = covered(data.size, length, replies)
-                rest = data[~gone].tobytes()
                 begins = gone.copy()
                 begins[1:] &= ~gone[:-1]
                 ends = gone.copy()
@@ -86,30 +88,41 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, keep: list[str] | None
                 begins[inner] |= gone[inner]
                 ends[inner - 1] |= gone[inner - 1]
                 start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+                del begins, ends
+                rest = data[~gone]
+                del data, gone
                 at = np.searchsorted(start, bounds)
                 owner = np.searchsorted(bounds, start, "right") - 1
                 removed = np.zeros(ids.size, np.int64)
                 np.add.at(removed, owner, end - start)
                 left = bounds - np.concatenate([[0], np.cumsum(removed)])
-                spans = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.StructArray.from_arrays([pa.array(start - bounds[owner]), pa.array(end - bounds[owner])], ["start", "end"]))
+                start, end = start - bounds[owner], end - bounds[owner]
                 sizes = np.diff(bounds)
-                columns = {
-                    "doc_id": ids_to_arrow(ids),
-                    "n_bytes": pa.array(sizes),
-                    "n_removed": pa.array(removed),
-                    "spans": spans.cast(spans_type),
-                    "kept": pa.array([rest[a:b] for a, b in zip(left[:-1].tolist(), left[1:].tolist())], pa.binary()),
-                }
-                if keep:
-                    columns["row"] = read_extra(extra).column("row").combine_chunks()
-                rows = pa.record_batch(list(columns.values()), list(columns))
-                for begin in range(0, rows.num_rows, 2000):
-                    yield rows.slice(begin, 2000)
+                row = read_extra(extra).column("row") if keep else None
+                del extra
+                # Rows of about ROWS_BYTES bytes at once.
+                first = 0
+                while first < ids.size:
+                    last = min(max(first + 1, int(np.searchsorted(left, left[first] + ROWS_BYTES, "right")) - 1), first + 2000, ids.size)
+                    own = slice(first, last)
+                    inside = slice(at[first], at[last])
+                    spans = pa.ListArray.from_arrays(pa.array(at[first : last + 1] - at[first], pa.int32()), pa.StructArray.from_arrays([pa.array(start[inside]), pa.array(end[inside])], ["start", "end"]))
+                    columns = {
+                        "doc_id": ids_to_arrow(ids[own]),
+                        "n_bytes": pa.array(sizes[own]),
+                        "n_removed": pa.array(removed[own]),
+                        "spans": spans.cast(spans_type),
+                        "kept": pa.array([rest[a:b].tobytes() for a, b in zip(left[first:last].tolist(), left[first + 1 : last + 1].tolist())], pa.binary()),
+                    }
+                    if keep:
+                        columns["row"] = row.slice(first, last - first).combine_chunks()
+                    yield pa.record_batch(list(columns.values()), list(columns))
+                    first = last
 
     schema = "doc_id bigint, n_bytes bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept binary"
     if keep:
         schema += ", row struct<" + ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in kept_fields) + ">"
-    return with_replies(blocks, find_repeats(blocks, units)).select("texts", "extra", "replies").mapInArrow(cut, schema)
+    return with_replies(blocks, find_repeats(blocks, units)).select("texts", "extra", "replies").mapInArrow(lean(cut), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

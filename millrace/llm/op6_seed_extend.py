@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.blocks import read_block, store_blocks, with_replies
-from millrace.llm.columns import id_and_text, ids_to_arrow, table
+from millrace.llm.columns import id_and_text, ids_to_arrow, lean, table
 from millrace.llm.repeats import Units, covered, find_repeats
 from millrace.llm.words import ngram_hashes, words_of
 
@@ -80,7 +80,7 @@ def remove_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     yield rows.slice(at, 2000)
 
     schema = "doc_id bigint, n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string"
-    return with_replies(blocks, find_repeats(blocks, units)).select("texts", "replies").mapInArrow(cut, schema)
+    return with_replies(blocks, find_repeats(blocks, units)).select("texts", "replies").mapInArrow(lean(cut), schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

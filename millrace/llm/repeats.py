@@ -26,10 +26,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from millrace.llm.blocks import read_block, with_replies
-from millrace.llm.columns import mix, pack, partitions, unpack
+from millrace.llm.columns import lean, lean_group, mix, pack, partitions, unpack
 
 SLICE = 1 << 18  # units worked on at once; a longer document is a slice of its own
-JUDGED = 500_000  # windows sorted at once
+JUDGED = 250_000  # windows sorted at once
+SENT = 1 << 20  # bytes in a batch of windows
 _SENT = "block bigint, bucket int, blob binary"
 
 
@@ -114,7 +115,9 @@ def runs_of(units: Units, bounds: np.ndarray, data: np.ndarray) -> tuple[Runs, n
             found.append((grams[anchor[new]], owner[new] + begin, start + base, count, units.names(grams, start), units.names(grams, start + count - 1)))
         base += int(places[-1])
     if found:
-        runs = Runs(*(np.concatenate(x) for x in zip(*found)))
+        fields = [list(x) for x in zip(*found)][::-1]
+        found.clear()
+        runs = Runs(*(np.concatenate(fields.pop()) for _ in range(len(fields))))  # slices of a field go when it is joined
     else:
         none, zero = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         runs = Runs(none, zero, zero, zero, none, none)
@@ -135,6 +138,19 @@ def _batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(block, pa.int64()), pa.array(bucket, pa.int32()), pa.array(blob, pa.binary())], ["block", "bucket", "blob"])
 
 
+def _batches(rows: Iterator[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
+    """``rows`` in batches of about SENT bytes."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += len(row[2])
+        if size >= SENT:
+            yield _batch(held)
+            held, size = [], 0
+    if held:
+        yield _batch(held)
+
+
 def _squeeze(keys: np.ndarray) -> np.ndarray:
     """The upper 40 bits of ascending keys as differences, in byte planes (they compress to about 3 bytes a key)."""
     steps = np.diff(keys >> np.uint64(24), prepend=np.uint64(0))
@@ -191,17 +207,17 @@ def find_repeats(blocks: DataFrame, units: Units) -> DataFrame:
         for batch in batches:
             for block, blob, replies in zip(*(batch.column(c).to_pylist() for c in ("block", "texts", "replies"))):
                 if replies:
-                    yield _batch(_sent_windows(units, buckets, block, blob, {r["bucket"]: r["blob"] for r in replies}))
+                    yield from _batches(_sent_windows(units, buckets, block, blob, {r["bucket"]: r["blob"] for r in replies}))
 
     def judge(group: pa.Table) -> pa.Table:
         return pa.Table.from_batches([_batch(_judged(units, group))])
 
-    once = blocks.select("block", "texts").mapInArrow(fingerprints, _SENT).groupBy("bucket").applyInArrow(answer, _SENT)
-    asked = with_replies(blocks.select("block", "texts"), once).mapInArrow(windows, _SENT)
-    return asked.groupBy("bucket").applyInArrow(judge, _SENT)
+    once = blocks.select("block", "texts").mapInArrow(lean(fingerprints), _SENT).groupBy("bucket").applyInArrow(lean_group(answer), _SENT)
+    asked = with_replies(blocks.select("block", "texts"), once).mapInArrow(lean(windows), _SENT)
+    return asked.groupBy("bucket").applyInArrow(lean_group(judge), _SENT)
 
 
-def _sent_windows(units: Units, buckets: int, block: int, blob: bytes, replies: dict[int, bytes]) -> list[tuple[int, int, bytes]]:
+def _sent_windows(units: Units, buckets: int, block: int, blob: bytes, replies: dict[int, bytes]) -> Iterator[tuple[int, int, bytes]]:
     ids, bounds, data = read_block(blob)
     runs, _, names = runs_of(units, bounds, data)
     keys, inverse, _ = _grouped(ids, runs, units.same_document)
@@ -219,11 +235,10 @@ def _sent_windows(units: Units, buckets: int, block: int, blob: bytes, replies:
     doc = ids[runs.doc]
     again = order != lead[group] if units.same_document else doc[order] != doc[lead[group]]
     local, kept = order[again], np.sort(order[~again])
-    rows = []
     # Marked by a first array of size 0: repeats that the block has settled itself.
     if local.size:
         local = np.sort(local)
-        rows.append((block, int(block % buckets), pack(np.zeros(0, np.uint64), runs.start[local], runs.count[local])))
+        yield block, int(block % buckets), pack(np.zeros(0, np.uint64), runs.start[local], runs.count[local])
     flat = np.concatenate(names) if names else np.zeros(0, np.uint64)
     first = np.cumsum(runs.count) - runs.count
     for b, at in _by_bucket(runs.key[kept], buckets):
@@ -232,8 +247,7 @@ def _sent_windows(units: Units, buckets: int, block: int, blob: bytes, replies:
         source = runs.start[own] if units.content else first[own]
         places = np.arange(int(size.sum())) + np.repeat(source - (np.cumsum(size) - size), size)
         content = data[places] if units.content else flat[places]
-        rows.append((block, b, pack(runs.key[own], np.diff(runs.start[own], prepend=0), runs.count[own].astype(np.int32), np.diff(doc[own], prepend=0), content)))
-    return rows
+        yield block, b, pack(runs.key[own], np.diff(runs.start[own], prepend=0), runs.count[own].astype(np.int32), np.diff(doc[own], prepend=0), content)
 
 
 def _judged(units: Units, group: pa.Table) -> list[tuple[int, int, bytes]]:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from millrace.llm.columns import kept_in_worker
+from millrace.llm.columns import give_back, kept_in_worker
 from millrace.llm.words import joined, two_word_hashes, word_spans
 
 # Words kept per worker process; when full the store starts anew, so memory stays bounded.
@@ -24,6 +25,7 @@ _NUMBERS = "0-9²³¹¼½¾"
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^\t-\r \x85\xa0{_LETTERS}{_NUMBERS}]+|\n")
 _WIDE = re.compile("[^\x00-\xff]")
 _BREAK = (1 << 32) - 1
+_ID = next(kind for kind in "IL" if array(kind).itemsize == 4)
 # Words encoded at once.
 _WORDS = 1 << 15
 
@@ -84,7 +86,8 @@ class WordTokenizer:
         self._reset()
 
     def _reset(self) -> None:
-        self.pieces: dict[str, tuple[int, ...]] = {"\n": (_BREAK,)}
+        # Ids of a piece as their bytes: a third of what a tuple of numbers takes.
+        self.pieces: dict[str, bytes] = {"\n": array(_ID, [_BREAK]).tobytes()}
         self.keys = np.zeros(0, np.uint64)
         self.checks = np.zeros(0, np.uint64)
         self.begins = np.zeros(0, np.int64)
@@ -104,8 +107,8 @@ class WordTokenizer:
             shown = self.shown[np.frombuffer("\n".join(new).encode(), np.uint8)].tobytes().decode("utf-16-le")
             tokenize = self.model.tokenize
             for piece, text in zip(new, shown.split("\n")):
-                self.pieces[piece] = tuple([t.id for t in tokenize(text)])
-        flat = np.fromiter(chain.from_iterable(map(self.pieces.__getitem__, pieces)), np.uint32)
+                self.pieces[piece] = array(_ID, [t.id for t in tokenize(text)]).tobytes()
+        flat = np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces)), np.uint32)
         breaks = flat == _BREAK
         sizes = np.diff(np.flatnonzero(breaks), prepend=-1, append=flat.size) - 1
         flat = flat[~breaks]
@@ -177,7 +180,7 @@ def word_tokenizer(path: str) -> WordTokenizer:
 
 
 def encoded(
-    batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int = 4 << 20
+    batches: Iterator[pa.RecordBatch], path: str, end_id: int, size: int = 1 << 20
 ) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     """Slices of the batches, each of about ``size`` bytes, with the ids of their ``text`` and the end id."""
     tokenizer = word_tokenizer(path)
@@ -191,3 +194,4 @@ def encoded(
                 ids = tokenizer.encode_many(texts[begin : i + 1])
                 yield batch.slice(begin, i + 1 - begin), [np.concatenate([x, tail]) for x in ids]
                 begin, total = i + 1, 0
+        give_back()

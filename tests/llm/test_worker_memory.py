@@ -1,11 +1,15 @@
 """What worker processes keep between steps, and sums over the links of a block."""
 
+import sys
+import tracemalloc
+
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 
-from millrace.llm import op13_alignment, tokens, words
-from millrace.llm.columns import BATCH_BYTES, let_go, pack, unpack
+from millrace.llm import op13_alignment, repeats, tokens, words
+from millrace.llm.columns import BATCH_BYTES, lean, lean_group, let_go, pack, unpack
+from millrace.llm.op5_suffix_dedup import byte_units
 from millrace.session import ship_package
 
 
@@ -71,3 +75,52 @@ def test_both_word_hashes_equal_those_alone(monkeypatch):
     both = words.two_word_hashes(data, starts, ends)
     assert [x.tolist() for x in both] == [words.word_hashes(data, starts, ends, radix=k).tolist() for k in (0, 1)]
     assert [x.size for x in words.two_word_hashes(data[:0], starts[:0], ends[:0])] == [0, 0]
+
+
+def test_runs_of_a_block_are_held_once():
+    data = np.random.default_rng(7).integers(0, 256, 8 << 20, dtype=np.uint8)
+    bounds = np.arange(0, data.size + 1, 1 << 16)
+    tracemalloc.start()
+    try:
+        runs, _, _ = repeats.runs_of(byte_units(50), bounds, data)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 1.7 * sum(x.nbytes for x in vars(runs).values())
+
+
+def test_windows_of_a_block_go_in_small_batches(monkeypatch):
+    monkeypatch.setattr(repeats, "SENT", 1000)
+    text = np.random.default_rng(8).integers(97, 123, 3000, dtype=np.uint8)
+    blob = pack(np.array([4, 5]), np.array([3000, 3000]), np.concatenate([text, text[::-1]]))
+    replies = {b: b"\xff" * 1000 for b in range(7)}
+    rows = list(repeats._sent_windows(byte_units(50), 7, 3, blob, replies))
+    batches = list(repeats._batches(iter(rows)))
+    assert len(batches) > 1
+    assert [tuple(r.values()) for b in batches for r in b.to_pylist()] == rows
+    assert list(repeats._batches(iter(()))) == []
+
+
+def test_ids_of_stored_pieces_take_few_bytes():
+    tokenizer = tokens.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    letters = np.random.default_rng(9).integers(97, 123, (3000, 9), dtype=np.uint8)
+    tokenizer.encode_many([b" ".join(x.tobytes() for x in letters)])
+    held = [sys.getsizeof(x) + (sum(map(sys.getsizeof, x)) if isinstance(x, tuple) else 0) for x in tokenizer.pieces.values()]
+    assert sum(held) / len(held) < 80
+
+
+def test_lean_steps_free_what_the_worker_keeps_and_give_the_same():
+    batch = pa.record_batch([pa.array([1, 2])], ["x"])
+    path = public_tokenizers.path("word_bpe_49k.json")
+
+    def step(batches):
+        assert not tokens.word_tokenizer.cache_info().currsize
+        for given in batches:
+            tokens.word_tokenizer(path)
+            yield given
+
+    tokens.word_tokenizer(path)
+    assert list(lean(step)(iter([batch, batch]))) == [batch, batch]
+    assert not tokens.word_tokenizer.cache_info().currsize
+    table = pa.table({"x": [1, 2]})
+    assert lean_group(lambda group: group.slice(1))(table) == table.slice(1)
